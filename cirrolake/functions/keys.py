@@ -61,7 +61,9 @@ def with_six_digits(df: DataFrame, texts: Mapping[str, str]) -> DataFrame:
         fixed = F.concat(units, F.lit("."), F.regexp_replace(fraction, r"(?<=.)0+$", ""))
         tiny = F.regexp_replace(F.format_string("%.5e", at("v")), r"\.?0+e", "e")
         sign = F.when(F.col(texts[new]) < 0, "-").otherwise("")
-        return F.concat(sign, F.when(at("v") == 0, "0.0").when(at("v") >= 0.0001, fixed).otherwise(tiny))
+        digits = F.concat(sign, F.when(at("v") >= 0.0001, fixed).otherwise(tiny))
+        # A negative zero keeps its sign.
+        return F.when(at("v") == 0, F.col(texts[new]).cast("string")).otherwise(digits)
 
     df = df.withColumns(
         {

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cirrolake.functions.measures import total
 
@@ -36,44 +38,44 @@ def column_info(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def exact_percentiles(df: DataFrame, column: str, points: Sequence[float], buckets: int = 1000) -> DataFrame:
+def exact_percentiles(df: DataFrame, column: str, points: Sequence[float], accuracy: int = 10_000) -> DataFrame:
     """Percentiles with linear interpolation as one row `percentiles`, an array in the order of `points`.
 
-    The built-in exact `percentile` keeps every distinct value in one buffer. Here values are counted first, then laid
-    out in `buckets` ranges whose edges come from a sketch; only the ranges' totals (a bounded number) are accumulated
-    in one place, and positions inside a range are counted within that range. The sketch decides how even the ranges
-    are, never the result.
+    The built-in exact `percentile` keeps every distinct value in one buffer. Here a sketch gives two edges close
+    around each point, which cut the values into a few ranges. The ranges' row counts tell which of them hold the
+    wanted positions, and only inside those the values are counted one by one. The sketch decides how narrow these
+    ranges are, never the result.
     """
     v = F.col(column).cast("double")
     values = df.where(v.isNotNull() & ~F.isnan(v)).select(v.alias("_v"))
-    counts = values.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    edges = values.agg(F.array_distinct(F.percentile_approx("_v", cuts, F.lit(10 * buckets))).alias("_edges"))
-    placed = counts.select("_v", "_n", edges.scalar().alias("_edges"))
-    placed = placed.select("_v", "_n", F.size(F.filter("_edges", lambda e: e < F.col("_v"))).alias("_bucket"))
-    # At most `buckets` rows: a running total over all of them is a bounded window.
-    totals = placed.groupBy("_bucket").agg(F.sum("_n").alias("_sum"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.join(totals, "_bucket").select(
-        "_v", "_n", (F.col("_before") + F.sum("_n").over(inside)).alias("_last")
-    )
+    margin = 2.0 / accuracy
+    cuts = sorted({min(max(p + d, 0.0), 1.0) for p in points for d in (-margin, margin)})
+    edges = values.agg(F.percentile_approx("_v", cuts, F.lit(accuracy)).alias("_edges")).scalar()
     n = values.agg(F.count(F.lit(1))).scalar()
-    # The value at zero-based position r is the one with last - count <= r < last.
-    ranked = ranked.withColumn("_total", n)
-    picks = []
-    for i, p in enumerate(points):
-        position = F.lit(float(p)) * (F.col("_total") - 1)
-        for name, r in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            hit = (F.col("_last") - F.col("_n") <= r) & (r < F.col("_last"))
-            picks.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{name}{i}"))
-    picked = ranked.agg(F.max("_total").alias("_total"), *picks)
+    counts = values.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_edges", edges)
+    placed = counts.select("_v", "_n", F.size(F.filter("_edges", lambda e: e < F.col("_v"))).alias("_range"))
+
+    positions = [F.lit(float(p)) * (F.col("_total") - 1) for p in points]
+    ranks = [r for p in positions for r in (F.floor(p), F.ceil(p))]
+
+    def holds(rank: Column, before: Column, size: Column) -> Column:
+        return (before <= rank) & (rank < before + size)
+
+    # One row per range, two ranges per point and one more: few enough to accumulate in one place and to broadcast.
+    running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy("_range").agg(F.sum("_n").alias("_size"))
+    ranges = ranges.withColumn("_before", F.coalesce(F.sum("_size").over(running), F.lit(0))).withColumn("_total", n)
+    wanted = ranges.where(reduce(or_, [holds(r, F.col("_before"), F.col("_size")) for r in ranks]))
+
+    inside = Window.partitionBy("_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = placed.join(F.broadcast(wanted), "_range").withColumn(
+        "_first", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    )
+    hits = [F.max(F.when(holds(r, F.col("_first"), F.col("_n")), F.col("_v"))) for r in ranks]
+    picked = ranked.agg(F.max("_total").alias("_total"), *[h.alias(f"_hit{i}") for i, h in enumerate(hits)])
     result = []
-    for i, p in enumerate(points):
-        position = F.lit(float(p)) * (F.col("_total") - 1)
-        t = position - F.floor(position)
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+    for i, position in enumerate(positions):
+        low, high, t = F.col(f"_hit{2 * i}"), F.col(f"_hit{2 * i + 1}"), position - F.floor(position)
         # From the nearer end, so that t = 0 and t = 1 give the ends themselves.
         result.append(F.when(t < 0.5, low + (high - low) * t).otherwise(high - (high - low) * (1 - t)))
     return picked.select(F.array(*result).alias("percentiles"))

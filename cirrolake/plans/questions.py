@@ -11,6 +11,9 @@ from cirrolake.plans.dashboard import Gold
 
 DAY = 86_400
 
+# What a row of the past-week window is: the observation itself, itself `days` later, or a whole day's total.
+OWN, MOVED, WHOLE = 0, 1, 2
+
 
 def recent_trend(silver: DataFrame, hours: int = 24, unit: str = "hour", scale: int | None = None) -> DataFrame:
     """Average temperature and humidity per hour (or day) over the last `hours` before the newest observation."""
@@ -35,39 +38,22 @@ def against_past_week(silver: DataFrame, days: int = 7, scale: int | None = None
     rows = silver.where(F.col("place").isNotNull() & F.col("observed_at").isNotNull()).select(
         "id", "place", "observed_at", "temperature", value.alias("_v"), at.alias("_at"), F.floor(at / DAY).alias("_day")
     )
+    n = F.when(F.col("_v").isNotNull(), 1).otherwise(0).cast("bigint")
 
-    def contribution(df: DataFrame, kind: int, *, day: Column, moment: Column, value: Column, n: Column) -> DataFrame:
-        own = kind == OWN
-        return df.select(
-            F.lit(kind).alias("_kind"),
-            "place",
-            day.alias("_day"),
-            moment.alias("_at"),
-            value.alias("_v"),
-            n.cast("bigint").alias("_n"),
-            *[(F.col(c) if own else F.lit(None).cast(silver.schema[c].dataType)).alias(c) for c in carried],
+    def part(kind: int, shift: int) -> Column:
+        """The row as it counts on its own day, or `shift` days later."""
+        return F.struct(
+            F.lit(kind).alias("_kind"), (F.col("_day") + shift).alias("_day"), (F.col("_at") + shift * DAY).alias("_at")
         )
 
-    OWN, MOVED, WHOLE = 0, 1, 2
-    carried = ["id", "observed_at", "temperature"]
-    present = F.when(F.col("_v").isNotNull(), 1).otherwise(0)
-    own = contribution(rows, OWN, day=F.col("_day"), moment=F.col("_at"), value=F.col("_v"), n=present)
-    moved = contribution(
-        rows.where(F.col("_v").isNotNull()),
-        MOVED,
-        day=F.col("_day") + days,
-        moment=F.col("_at") + days * DAY,
-        value=F.col("_v"),
-        n=F.lit(1),
+    parts = rows.select(
+        "id", "place", "observed_at", "temperature", "_v", n.alias("_n"), F.inline(F.array(part(OWN, 0), part(MOVED, days)))
     )
-    parts = own.unionByName(moved)
     if days > 1:
         daily = rows.groupBy("place", "_day").agg(F.sum("_v").alias("_v"), F.count("_v").alias("_n"))
         ahead = daily.withColumn("_day", F.explode(F.sequence(F.col("_day") + 1, F.col("_day") + (days - 1))))
-        whole = contribution(
-            ahead, WHOLE, day=F.col("_day"), moment=F.col("_day") * DAY, value=F.col("_v"), n=F.col("_n")
-        )
-        parts = parts.unionByName(whole)
+        whole = ahead.withColumns({"_kind": F.lit(WHOLE), "_at": F.col("_day") * DAY})
+        parts = parts.unionByName(whole, allowMissingColumns=True)
     day = Window.partitionBy("place", "_day").orderBy("_at")
     earlier = day.rangeBetween(Window.unboundedPreceding, -1)
     later = day.rangeBetween(Window.currentRow, Window.unboundedFollowing)
@@ -81,7 +67,7 @@ def against_past_week(silver: DataFrame, days: int = 7, scale: int | None = None
 
     framed = parts.withColumns({"_sum": past("_v"), "_count": past("_n")}).where(F.col("_kind") == OWN)
     week = F.col("_sum").cast("double") / F.nullif(F.col("_count"), F.lit(0))
-    return framed.select(*carried[:1], "place", *carried[1:], week.alias("week_avg")).withColumn(
+    return framed.select("id", "place", "observed_at", "temperature", week.alias("week_avg")).withColumn(
         "difference", F.col("temperature") - F.col("week_avg")
     )
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cirrolake.functions import jsonmap
 from cirrolake.operators import bronze as bz
 from cirrolake.operators.dimensions import dim_date, dim_location, dim_weather
 from cirrolake.operators.fact import fact_from_same_silver
@@ -15,9 +16,9 @@ from cirrolake.operators.silver import bronze_to_silver
 from cirrolake.plans.dashboard import Gold
 from cirrolake.schemas import GOLD
 from cirrolake.sinks import publish as pub
-from cirrolake.sinks.tables import append_bronze, write_silver
+from cirrolake.sinks.tables import append_bronze, write_fact, write_silver
 from cirrolake.sources.responses import current_observations, history_observations, read_responses
-from cirrolake.sources.tables import read_bronze, read_silver
+from cirrolake.sources.tables import read_bronze, read_gold_table, read_silver
 
 
 @dataclass(frozen=True)
@@ -49,12 +50,11 @@ def backfill(
     spark: SparkSession, landing: str, lake: Lake, ingested_at: dt.datetime, start: dt.date, end: dt.date
 ) -> int:
     """Append landed history responses to Bronze, the observations from `start` up to and including `end`."""
-    rows = history_observations(read_responses(spark, landing))
-    bronze = bz.history_to_bronze(rows, ingested_at)
-    seconds = F.get_json_object("raw_payload", "$.ts").try_cast("double")
     low = dt.datetime.combine(start, dt.time(), dt.UTC).timestamp()
     high = dt.datetime.combine(end + dt.timedelta(days=1), dt.time(), dt.UTC).timestamp()
-    return append_bronze(bronze.where((seconds >= low) & (seconds < high)), lake.bronze)
+    seconds = jsonmap.text(F.col("obs"), "ts").try_cast("double")
+    rows = history_observations(read_responses(spark, landing)).where((seconds >= low) & (seconds < high))
+    return append_bronze(bz.history_to_bronze(rows, ingested_at), lake.bronze)
 
 
 def build_silver(spark: SparkSession, lake: Lake) -> str | None:
@@ -81,7 +81,7 @@ def gold_tables(silver: DataFrame, scale: int | None = None) -> Gold:
 def read_gold(spark: SparkSession, lake: Lake, run_id: str | None = None) -> Gold:
     run_id = run_id or pub.published_run(spark, lake.gold)
     return Gold(
-        *[spark.read.schema(schema).parquet(pub.run_path(lake.gold, run_id, t)) for t, schema in GOLD.items()]
+        *[read_gold_table(spark, pub.run_path(lake.gold, run_id, table), table) for table in GOLD]
     )
 
 
@@ -89,8 +89,9 @@ def build_gold(spark: SparkSession, lake: Lake, database: str | None = None) ->
     """Write the star schema as a new version, test it, and publish it only if every test passes."""
     run_id = pub.new_run_id()
     planned = gold_tables(current_silver(spark, lake))
-    for table in GOLD:
+    for table in ("dim_location", "dim_date", "dim_weather"):
         getattr(planned, table).write.parquet(pub.run_path(lake.gold, run_id, table))
+    write_fact(planned.fact_hourly_weather, pub.run_path(lake.gold, run_id, "fact_hourly_weather"))
     gate(vars(read_gold(spark, lake, run_id)))
     pub.publish_run(spark, lake.gold, run_id)
     pub.repoint_views(spark, lake.gold, run_id, list(GOLD), database)

@@ -4,26 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cirrolake.sinks.tables import evenly_by
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return _file_system(spark, path).exists(_hadoop_path(spark, path))
 
 
 def replace_partitions(rows: DataFrame, path: str, stage: str, partition: str) -> None:
     """Write `rows` over the partitions of `path` that they fall into; other partitions stay.
 
-    The rows may be read from `path`, so they go to `stage` first. A complete stage (with its success mark) is taken as
-    it is: a run that died while replacing partitions is finished by calling again with the same stage.
+    The rows may be read from `path`, so they go to `stage` first, a folder for this one change. A complete stage (with
+    its success mark) is taken as it is: a run that died while replacing partitions is finished by calling again with
+    the same stage. It is removed at the end.
     """
     spark = rows.sparkSession
     if not path_exists(spark, f"{stage}/_SUCCESS"):
         rows.write.mode("overwrite").partitionBy(partition).parquet(stage)
     staged = spark.read.schema(rows.schema).parquet(stage)
     (
-        staged.hint("rebalance", partition)
+        evenly_by(staged, partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    _file_system(spark, stage).delete(_hadoop_path(spark, stage), True)

@@ -5,22 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from cirrolake.schemas import SILVER
-from cirrolake.sources.tables import SILVER_PARTITION
+from cirrolake.sources.tables import FACT_PARTITION, SILVER_PARTITION
 
 
 def append_bronze(bronze: DataFrame, path: str) -> int:
-    """Append one batch, partitioned by ingest date; returns its row count, taken while writing."""
+    """Append one batch, partitioned by ingest date; returns its row count, taken while writing.
+
+    An empty batch writes nothing. The plan has no shuffle, so looking for a first row reads little.
+    """
+    if bronze.isEmpty():
+        return 0
     seen = Observation()
     bronze.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy("ingest_date").parquet(path)
     return seen.get["rows"]
 
 
-def by_observed_date(silver: DataFrame) -> DataFrame:
-    """Silver with its partition column, arranged so that each date lands in few files of even size.
+def evenly_by(df: DataFrame, partition: str) -> DataFrame:
+    """Rows arranged so that each value of a partition column lands in few files of even size.
 
-    The rebalance lets AQE merge small dates and split large ones, so neither a hot date nor tasks x dates files arise.
+    The rebalance lets AQE merge small values and split large ones, so neither one task writes a hot value nor does
+    every task write a file for every value.
     """
-    return silver.withColumn(SILVER_PARTITION, F.to_date("observed_at")).hint("rebalance", SILVER_PARTITION)
+    return df.hint("rebalance", partition)
 
 
 def write_silver(silver: DataFrame, path: str) -> int:
@@ -28,11 +34,16 @@ def write_silver(silver: DataFrame, path: str) -> int:
     if silver.schema.names != SILVER.names or [f.dataType for f in silver.schema] != [f.dataType for f in SILVER]:
         raise TypeError(f"not the Silver schema: {silver.schema.simpleString()}")
     seen = Observation()
-    rows = by_observed_date(silver.observe(seen, F.count(F.lit(1)).alias("rows")))
-    rows.write.mode("errorifexists").partitionBy(SILVER_PARTITION).parquet(path)
+    rows = silver.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn(SILVER_PARTITION, F.to_date("observed_at"))
+    evenly_by(rows, SILVER_PARTITION).write.mode("errorifexists").partitionBy(SILVER_PARTITION).parquet(path)
     return seen.get["rows"]
 
 
+def write_fact(fact: DataFrame, path: str) -> None:
+    """Write the fact partitioned by date, so that a filter on dates reads those dates only."""
+    evenly_by(fact, FACT_PARTITION).write.mode("errorifexists").partitionBy(FACT_PARTITION).parquet(path)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from cirrolake.functions import jsonmap
@@ -30,21 +30,15 @@ def _with_place(text: DataFrame) -> DataFrame:
     return text.select(F.get_json_object("value", "$.place_name").alias("place_name"), F.col("value").alias("body"))
 
 
-def _elements(document: Column) -> Column:
-    """The `data` array of a parsed document; empty when absent."""
-    data = F.try_variant_get(F.try_element_at(document, F.lit("data")), "$", f"array<{OBSERVATION_MAP}>")
-    return F.coalesce(data, F.array().cast(f"array<{OBSERVATION_MAP}>"))
-
-
 def _named(rows: DataFrame) -> DataFrame:
     """Observations under our place name and not the API's city; a missing name is a JSON null."""
     return rows.select(jsonmap.put(F.col("obs"), "place_name", F.col("place_name")).alias("obs"))
 
 
 def current_observations(responses: DataFrame) -> DataFrame:
-    """One row per element of a current-conditions response."""
-    documents = responses.select("place_name", F.from_json("body", OBSERVATION_MAP).alias("doc"))
-    return _named(documents.select("place_name", F.explode(_elements(F.col("doc"))).alias("obs")))
+    """One row per element of a current-conditions response; none when `data` is absent."""
+    document = F.from_json("body", f"data array<{OBSERVATION_MAP}>")
+    return _named(responses.select("place_name", F.explode(document["data"]).alias("obs")))
 
 
 def history_observations(responses: DataFrame) -> DataFrame:
@@ -53,21 +47,16 @@ def history_observations(responses: DataFrame) -> DataFrame:
     Bodies that are not JSON give no rows; `rejected_responses` lists them.
     """
     documents = responses.select("place_name", F.from_json("body", OBSERVATION_MAP).alias("doc"))
-    rows = documents.select(
-        "place_name",
-        F.map_filter("doc", lambda k, _: k != "data").alias("meta"),
-        F.explode(_elements(F.col("doc"))).alias("obs"),
-    )
+    data = F.try_variant_get(F.try_element_at("doc", F.lit("data")), "$", f"array<{OBSERVATION_MAP}>")
+    rows = documents.select("place_name", jsonmap.without(F.col("doc"), "data").alias("meta"), F.explode(data).alias("obs"))
     merged = rows.select("place_name", jsonmap.overlay(F.col("meta"), F.col("obs")).alias("obs"))
     return harmonise_history(_named(merged))
 
 
 def harmonise_history(observations: DataFrame) -> DataFrame:
     """Give history rows the keys of current rows: `wind_gust_spd` becomes `gust`; absent `app_temp`, `aqi` are null."""
-    obs = jsonmap.rename_key(F.col("obs"), "wind_gust_spd", "gust")
-    for key in ("app_temp", "aqi"):
-        obs = jsonmap.put_null_if_absent(obs, key)
-    return observations.select(obs.alias("obs"))
+    renamed = observations.select(jsonmap.rename_key(F.col("obs"), "wind_gust_spd", "gust").alias("obs"))
+    return renamed.select(jsonmap.put_nulls(F.col("obs"), "app_temp", "aqi").alias("obs"))
 
 
 def rejected_responses(responses: DataFrame) -> DataFrame:

@@ -8,14 +8,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from cirrolake.schemas import DATE, SILVER
+from cirrolake.schemas import BRONZE, DATE, GOLD, SILVER
 
 SILVER_PARTITION = "observed_date"
+FACT_PARTITION = "date_key"
 
 
-def read_bronze(spark: SparkSession, path: str, since: dt.date | None = None, merge: bool = True) -> DataFrame:
-    """The raw table. `merge` keeps envelope columns that only some files have; `since` prunes older ingest dates."""
-    bronze = spark.read.option("mergeSchema", merge).parquet(path)
+def read_bronze(spark: SparkSession, path: str, since: dt.date | None = None, merge: bool = False) -> DataFrame:
+    """The raw table; `since` prunes older ingest dates.
+
+    Its seven columns are declared, so no file needs to be opened to learn them. With `merge` all files are asked, and
+    envelope columns that only some of them have are kept.
+    """
+    reader = spark.read.option("mergeSchema", True) if merge else spark.read.schema(BRONZE)
+    bronze = reader.parquet(path)
     return bronze if since is None else bronze.where(F.col("ingest_date") >= F.lit(since))
 
 
@@ -28,6 +34,11 @@ def read_silver(spark: SparkSession, path: str, dates: Sequence[dt.date] | None
     return silver.select(*SILVER.names)
 
 
+def read_gold_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A table of the star schema, its columns in their order wherever the partition column is stored."""
+    return spark.read.schema(GOLD[table]).parquet(path).select(*GOLD[table].names)
+
+
 def stage_silver(silver: DataFrame, view: str = "stg_weather_observations") -> DataFrame:
     """Name Silver for SQL users; the view stores nothing."""
     silver.createOrReplaceTempView(view)

@@ -10,11 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cirrolake.operators.fact import fact_from_same_silver
 from cirrolake.operators.silver import add_features, deduplicate
-from cirrolake.schemas import FACT_HOURLY_WEATHER, OBSERVATION_COLUMNS
+from cirrolake.schemas import OBSERVATION_COLUMNS
 from cirrolake.sinks.merge import path_exists, replace_partitions
-from cirrolake.sources.tables import SILVER_PARTITION, read_silver
-
-FACT_PARTITION = "date_key"
+from cirrolake.sources.tables import FACT_PARTITION, SILVER_PARTITION, read_gold_table, read_silver
 
 
 def touched_dates(obs: DataFrame) -> list[dt.date]:
@@ -51,27 +49,30 @@ def refresh_fact(spark: SparkSession, silver_path: str, fact_path: str, stage: s
 
 
 def read_fact(spark: SparkSession, fact_path: str) -> DataFrame:
-    return spark.read.schema(FACT_HOURLY_WEATHER).parquet(fact_path)
+    return read_gold_table(spark, fact_path, "fact_hourly_weather")
+
 
+def merging_sink(silver_path: str, stages: str) -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` function. A batch that is run again after a failure finds its own finished stage and reuses it.
 
-def merging_sink(silver_path: str, stage_root: str) -> Callable[[DataFrame, int], None]:
-    """A `foreachBatch` function. A batch that is run again after a failure finds its own finished stage and reuses it."""
+    Batch numbers belong to one stream, so `stages` must too.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Read twice, for the dates and for the rows.
         batch = batch.persist()
         try:
-            merge_silver(batch, silver_path, f"{stage_root.rstrip('/')}/batch={batch_id}")
+            merge_silver(batch, silver_path, f"{stages}/batch={batch_id}")
         finally:
             batch.unpersist()
 
     return write
 
 
-def start_merge(stream: DataFrame, silver_path: str, stage_root: str, checkpoint: str) -> StreamingQuery:
+def start_merge(stream: DataFrame, silver_path: str, checkpoint: str) -> StreamingQuery:
     """Fold a stream of observations into Silver until nothing new is available."""
     return (
-        stream.writeStream.foreachBatch(merging_sink(silver_path, stage_root))
+        stream.writeStream.foreachBatch(merging_sink(silver_path, f"{checkpoint.rstrip('/')}/stages"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

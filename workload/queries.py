@@ -523,7 +523,7 @@ def schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink.append_bronze(bz.current_to_bronze(rows, proxy.BATCH_TIME), path)
     later = bz.history_to_bronze(rows, proxy.BATCH_TIME + dt.timedelta(days=1))
     sink.append_bronze(later.withColumn("station", F.get_json_object("raw_payload", "$.city_name")), path)
-    return lake_tables.read_bronze(spark, path).select("observation_id", "source", "station", "ingest_date")
+    return lake_tables.read_bronze(spark, path, merge=True).select("observation_id", "source", "station", "ingest_date")
 
 
 def _land(spark: SparkSession, docs: DataFrame, label: str) -> tuple[str, stages.Lake]:
@@ -576,7 +576,7 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, landing, lake.bronze, f"{lake.root}/checkpoint", ingested_at=proxy.BATCH_TIME
     )
     started.awaitTermination()
-    return lake_tables.read_bronze(spark, lake.bronze, merge=False).select(
+    return lake_tables.read_bronze(spark, lake.bronze).select(
         "observation_id", "source", "lat", "lon", "ingest_date"
     )
 
@@ -609,14 +609,14 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations landed in files of no order and merged in four batches."""
     root = scratch_dir(spark, "merge")
     obs = proxy.observations(spark, sf_dir)
-    files = max(4, obs.rdd.getNumPartitions())
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     obs.repartition(files).write.parquet(f"{root}/landed")
     stream = (
         spark.readStream.schema(obs.schema)
         .option("maxFilesPerTrigger", math.ceil(files / 4))
         .parquet(f"{root}/landed")
     )
-    merge.start_merge(stream, f"{root}/silver", f"{root}/stage", f"{root}/checkpoint").awaitTermination()
+    merge.start_merge(stream, f"{root}/silver", f"{root}/checkpoint").awaitTermination()
     return lake_tables.read_silver(spark, f"{root}/silver")
 
 
