@@ -15,10 +15,20 @@ DAY = 86_400
 OWN, MOVED, WHOLE = 0, 1, 2
 
 
-def recent_trend(silver: DataFrame, hours: int = 24, unit: str = "hour", scale: int | None = None) -> DataFrame:
-    """Average temperature and humidity per hour (or day) over the last `hours` before the newest observation."""
-    newest = silver.agg(F.max("observed_at")).scalar()
-    recent = silver.where(F.col("observed_at") > newest - F.expr(f"INTERVAL {int(hours)} HOURS"))
+def recent_trend(
+    silver: DataFrame, hours: int = 24, unit: str = "hour", scale: int | None = None, partition: str | None = None
+) -> DataFrame:
+    """Average temperature and humidity per hour (or day) over the last `hours` before the newest observation.
+
+    With `partition`, the name of Silver's date partition column, only the partitions of those hours are read.
+    """
+    last = silver
+    if partition is not None:
+        last = silver.where(F.col(partition) == silver.agg(F.max(partition)).scalar())
+    start = last.agg((F.max("observed_at") - F.expr(f"INTERVAL {int(hours)} HOURS")).alias("start"))
+    recent = silver.where(F.col("observed_at") > start.scalar())
+    if partition is not None:
+        recent = recent.where(F.col(partition) >= start.select(F.to_date("start")).scalar())
     return recent.groupBy(F.date_trunc(unit, "observed_at").alias("period")).agg(
         mean("temperature", scale).alias("avg_temperature"),
         mean("humidity", scale).alias("avg_humidity"),

@@ -25,13 +25,18 @@ def read_bronze(spark: SparkSession, path: str, since: dt.date | None = None, me
     return bronze if since is None else bronze.where(F.col("ingest_date") >= F.lit(since))
 
 
-def read_silver(spark: SparkSession, path: str, dates: Sequence[dt.date] | None = None) -> DataFrame:
-    """Silver's 29 columns; `dates` prunes the scan to those observed dates."""
+def read_silver(
+    spark: SparkSession, path: str, dates: Sequence[dt.date] | None = None, keep_date: bool = False
+) -> DataFrame:
+    """Silver's 29 columns; `dates` prunes the scan to those observed dates.
+
+    With `keep_date` the partition column follows them, for questions that prune by it.
+    """
     schema = StructType([*SILVER.fields, StructField(SILVER_PARTITION, DATE)])
     silver = spark.read.schema(schema).parquet(path)
     if dates is not None:
         silver = silver.where(F.col(SILVER_PARTITION).isin(list(dates)))
-    return silver.select(*SILVER.names)
+    return silver if keep_date else silver.select(*SILVER.names)
 
 
 def read_gold_table(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -380,6 +380,7 @@ FROM {JOINED} GROUP BY l.place, w.weather_description""",
     "detail_table": detail("", gaps=True),
     "detail_filtered": detail(f"AND d.full_date BETWEEN {FILTER_DATES} AND l.place IN {FILTER_PLACES}", gaps=False),
     "last_24h_trend": trend(24, "hour"),
+    "last_24h_partitions": trend(24, "hour"),
     "last_7d_trend": trend(168, "day"),
     "vs_7day_avg": f"""{with_(obs(), silver())}SELECT id, place, observed_at, temperature, week_avg,
   temperature - week_avg AS difference FROM (

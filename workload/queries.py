@@ -401,6 +401,15 @@ def last_7d_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.recent_trend(proxy.silver(spark, sf_dir), 7 * 24, "day", scale=SCALE)
 
 
+@query
+def last_24h_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a written Silver table, of which only the last dates are read."""
+    path = f"{scratch_dir(spark, 'recent')}/silver"
+    sink.write_silver(proxy.silver(spark, sf_dir), path)
+    silver = lake_tables.read_silver(spark, path, keep_date=True)
+    return questions.recent_trend(silver, 24, "hour", scale=SCALE, partition=lake_tables.SILVER_PARTITION)
+
+
 @query
 def vs_7day_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.against_past_week(proxy.silver(spark, sf_dir), scale=SCALE)
