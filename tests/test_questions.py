@@ -1,0 +1,83 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from builders import at, obs, observations, silver, values
+from cirrolake.plans import questions
+from cirrolake.plans.stages import gold_tables
+
+
+def brute_week(rows, days):
+    out = []
+    for r in rows:
+        low = r["observed_at"] - dt.timedelta(days=days)
+        past = [
+            x["temperature"] for x in rows
+            if x["place"] == r["place"] and low <= x["observed_at"] < r["observed_at"] and x["temperature"] is not None
+        ]
+        out.append((r["id"], round(sum(past) / len(past), 9) if past else None))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("days", [1, 2, 7])
+def test_past_week_against_brute_force(spark, days):
+    """A place with a third of the rows, equal times, gaps of weeks, and times at the very borders of the frame."""
+    rng = random.Random(days)
+    start = at(0, day=1)
+    rows = []
+    for i in range(600):
+        seconds = rng.choice([rng.randrange(86_400 * 28), 86_400 * rng.randrange(28), 3600 * rng.randrange(24 * 28)])
+        rows.append(
+            obs(id=f"{i:03}", place=rng.choice("AAABC"), observed_at=start + dt.timedelta(seconds=seconds),
+                temperature=None if i % 9 == 0 else rng.randrange(400) / 10)
+        )
+    df = observations(spark, *rows).repartition(5)
+    got = questions.against_past_week(df, days=days, scale=3)
+    assert sorted((r.id, None if r.week_avg is None else round(r.week_avg, 9)) for r in got.collect()) == brute_week(rows, days)
+
+
+def test_past_week_before_1970(spark):
+    old = dt.datetime(1969, 12, 30, 22, tzinfo=dt.UTC)
+    rows = [obs(id=str(h), observed_at=old + dt.timedelta(hours=5 * h), temperature=float(h)) for h in range(12)]
+    got = questions.against_past_week(silver(spark, *rows), days=2)
+    assert sorted((r.id, None if r.week_avg is None else round(r.week_avg, 9)) for r in got.collect()) == brute_week(rows, 2)
+
+
+def test_recent_trend(spark):
+    s = silver(spark, *[obs(id=str(h), observed_at=at(0) + dt.timedelta(hours=h), temperature=float(h), humidity=1.0) for h in range(48)])
+    got = questions.recent_trend(s, 24).orderBy("period").collect()
+    assert [r.avg_temperature for r in got] == [float(h) for h in range(24, 48)]
+    days = questions.recent_trend(s, 48, "day").orderBy("period").collect()
+    assert [(r.period.day, r.avg_temperature) for r in days] == [(30, 11.5), (31, 35.5)]
+    dated = s.withColumn("observed_date", F.to_date("observed_at"))
+    assert values(questions.recent_trend(dated, 24, partition="observed_date")) == values(questions.recent_trend(s, 24))
+
+
+def test_extremes(spark):
+    s = silver(
+        spark,
+        obs(place="A", observed_at=at(1), temperature=99.0, wind_speed=9.0),
+        obs(place="A", observed_at=at(2), temperature=20.0, wind_speed=1.0),
+        obs(place="B", observed_at=at(1), temperature=30.0, wind_speed=None),
+        obs(place="C", observed_at=at(1), temperature=30.0, wind_speed=2.0),
+        obs(place="D", observed_at=at(1), temperature=None, wind_speed=2.0),
+    )
+    assert values(questions.current_extremes(s)) == [("coldest", "A", 20.0), ("hottest", "B", 30.0), ("windiest", "C", 2.0)]
+    nothing = values(questions.current_extremes(s.where("place = 'none'")))
+    assert nothing == [("coldest", None, None), ("hottest", None, None), ("windiest", None, None)]
+
+
+def test_coverage(spark):
+    rows = [obs(place="A", observed_at=at(h)) for h in range(4)] + [obs(place="B", observed_at=at(h, 30)) for h in (0, 3)]
+    places = spark.createDataFrame([("A",), ("B",), ("C",)], "name string")
+    s = silver(spark, *rows)
+    assert values(questions.coverage(s, places)) == [("A", 4, 4, 1.0), ("B", 2, 4, 0.5), ("C", 0, 4, 0.0)]
+    missing = questions.missing_hours(s, places)
+    assert values(missing.select("place", F.hour("hour"))) == [("B", 1), ("B", 2), ("C", 0), ("C", 1), ("C", 2), ("C", 3)]
+
+
+def test_frequency(spark):
+    s = silver(spark, *[obs(place=p, weather_code=1.0, weather_description=d) for p, d in zip("ABCD", ["x", "x", "x", "y"])])
+    assert values(questions.condition_frequency(gold_tables(s))) == [("x", 3, 0.75), ("y", 1, 0.25)]
