@@ -5,20 +5,22 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cirrolake.functions import jsonmap
 from cirrolake.operators import bronze as bz
 from cirrolake.operators.dimensions import dim_date, dim_location, dim_weather
 from cirrolake.operators.fact import fact_from_same_silver
 from cirrolake.operators.quality import gate
-from cirrolake.operators.silver import bronze_to_silver
+from cirrolake.operators.silver import bronze_to_silver, observations
 from cirrolake.plans.dashboard import Gold
-from cirrolake.schemas import GOLD
+from cirrolake.schemas import GOLD, SILVER
 from cirrolake.sinks import publish as pub
+from cirrolake.sinks.merge import finish_replacement
 from cirrolake.sinks.tables import append_bronze, write_fact, write_silver
 from cirrolake.sources.responses import current_observations, history_observations, read_responses
-from cirrolake.sources.tables import read_bronze, read_gold_table, read_silver
+from cirrolake.sources.tables import FACT_PARTITION, SILVER_PARTITION, read_bronze, read_gold_table, read_silver
+from cirrolake.streaming.merge import merge_silver, refresh_fact
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,11 @@ class Lake:
     def gold(self) -> str:
         return f"{self.root.rstrip('/')}/gold"
 
+    @property
+    def live(self) -> str:
+        """Tables that are updated in place, date by date."""
+        return f"{self.root.rstrip('/')}/live"
+
 
 def ingest_current(spark: SparkSession, landing: str, lake: Lake, ingested_at: dt.datetime) -> int:
     """Append landed current-conditions responses to Bronze; returns the number of rows."""
@@ -98,6 +105,34 @@ def build_gold(spark: SparkSession, lake: Lake, database: str | None = None) ->
     return run_id
 
 
+LIVE_SILVER_SCHEMA = T.StructType([*SILVER.fields, T.StructField(SILVER_PARTITION, T.DateType())])
+
+
+def update_live(spark: SparkSession, lake: Lake, since: dt.date) -> list[dt.date]:
+    """Fold the Bronze partitions from `since` on into the live Silver and fact; returns the dates rewritten.
+
+    What a run before it left half-way is finished first. Updating again with the same or an earlier `since` changes
+    nothing, so a failed run is repeated as it was.
+    """
+    silver, fact = f"{lake.live}/weather_observations", f"{lake.live}/fact_hourly_weather"
+    stages = {silver: f"{lake.live}/stages/silver", fact: f"{lake.live}/stages/fact"}
+    finish_replacement(spark, LIVE_SILVER_SCHEMA, silver, stages[silver], SILVER_PARTITION)
+    finish_replacement(spark, GOLD["fact_hourly_weather"], fact, stages[fact], FACT_PARTITION)
+    dates = merge_silver(observations(read_bronze(spark, lake.bronze, since)), silver, stages[silver])
+    refresh_fact(spark, silver, fact, stages[fact], dates)
+    return dates
+
+
+def read_live(spark: SparkSession, lake: Lake) -> Gold:
+    """The star schema over the live tables; its dimensions are read off Silver.
+
+    An update replaces files, so read again after one. Readers that must not notice updates use a published version.
+    """
+    silver = read_silver(spark, f"{lake.live}/weather_observations")
+    fact = read_gold_table(spark, f"{lake.live}/fact_hourly_weather", "fact_hourly_weather")
+    return Gold(dim_location(silver), dim_date(silver), dim_weather(silver), fact)
+
+
 def run_all(
     spark: SparkSession, landing: str, lake: Lake, ingested_at: dt.datetime, database: str | None = None
 ) -> Gold:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from cirrolake.sinks.tables import evenly_by
 
@@ -26,10 +27,16 @@ def replace_partitions(rows: DataFrame, path: str, stage: str, partition: str) -
     its success mark) is taken as it is: a run that died while replacing partitions is finished by calling again with
     the same stage. It is removed at the end.
     """
-    spark = rows.sparkSession
-    if not path_exists(spark, f"{stage}/_SUCCESS"):
+    if not path_exists(rows.sparkSession, f"{stage}/_SUCCESS"):
         rows.write.mode("overwrite").partitionBy(partition).parquet(stage)
-    staged = spark.read.schema(rows.schema).parquet(stage)
+    finish_replacement(rows.sparkSession, rows.schema, path, stage, partition)
+
+
+def finish_replacement(spark: SparkSession, schema: StructType, path: str, stage: str, partition: str) -> None:
+    """Write a complete stage over the partitions of `path`, then remove it. Does nothing when there is none."""
+    if not path_exists(spark, f"{stage}/_SUCCESS"):
+        return
+    staged = spark.read.schema(schema).parquet(stage)
     (
         evenly_by(staged, partition)
         .write.mode("overwrite")

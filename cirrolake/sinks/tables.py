@@ -8,6 +8,19 @@ from cirrolake.schemas import SILVER
 from cirrolake.sources.tables import FACT_PARTITION, SILVER_PARTITION
 
 
+def counted(df: DataFrame, seen: Observation) -> DataFrame:
+    """Count rows while they are written, without a second job.
+
+    It must be the last step before a write. In a task that feeds a shuffle, rows would count again when the task is
+    run again after an executor was lost.
+    """
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+
+def rows_of(seen: Observation) -> int:
+    return seen.get.get("rows", 0)
+
+
 def append_bronze(bronze: DataFrame, path: str) -> int:
     """Append one batch, partitioned by ingest date; returns its row count, taken while writing.
 
@@ -16,8 +29,8 @@ def append_bronze(bronze: DataFrame, path: str) -> int:
     if bronze.isEmpty():
         return 0
     seen = Observation()
-    bronze.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy("ingest_date").parquet(path)
-    return seen.get["rows"]
+    counted(bronze, seen).write.mode("append").partitionBy("ingest_date").parquet(path)
+    return rows_of(seen)
 
 
 def evenly_by(df: DataFrame, partition: str) -> DataFrame:
@@ -34,9 +47,9 @@ def write_silver(silver: DataFrame, path: str) -> int:
     if silver.schema.names != SILVER.names or [f.dataType for f in silver.schema] != [f.dataType for f in SILVER]:
         raise TypeError(f"not the Silver schema: {silver.schema.simpleString()}")
     seen = Observation()
-    rows = silver.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn(SILVER_PARTITION, F.to_date("observed_at"))
-    evenly_by(rows, SILVER_PARTITION).write.mode("errorifexists").partitionBy(SILVER_PARTITION).parquet(path)
-    return seen.get["rows"]
+    rows = evenly_by(silver.withColumn(SILVER_PARTITION, F.to_date("observed_at")), SILVER_PARTITION)
+    counted(rows, seen).write.mode("errorifexists").partitionBy(SILVER_PARTITION).parquet(path)
+    return rows_of(seen)
 
 
 def write_fact(fact: DataFrame, path: str) -> None:

@@ -1,10 +1,10 @@
 import math
 import random
 
-from pyspark.sql import Observation, functions as F
+from pyspark.sql import functions as F
 
 from builders import NOON, at, bronze, obs, observations, silver, values
-from cirrolake.operators.silver import bronze_to_silver, counted, deduplicate, to_silver
+from cirrolake.operators.silver import bronze_to_silver, deduplicate, to_silver
 from cirrolake.schemas import SILVER
 
 
@@ -81,13 +81,6 @@ def test_idempotent(spark):
     assert values(to_silver(once)) == values(once)
 
 
-def test_counts_come_with_the_job(spark):
-    read, kept_rows = Observation(), Observation()
-    source = observations(spark, *random_rows(), obs(place=None))
-    n = len(counted(source, to_silver, read, kept_rows).collect())
-    assert (read.get["rows"], kept_rows.get["rows"]) == (401, n)
-
-
 def test_hot_key_is_cut_before_the_shuffle(spark):
     """A third of all rows in one hour of one place leaves each task as one row."""
     hot = spark.range(0, 30_000, numPartitions=4).select(

@@ -84,6 +84,31 @@ def test_backfill_range(spark, path):
     assert values(stages.current_silver(spark, lake), "wind_gust", "observation_hour") == [(3.0, 0), (3.0, 23)]
 
 
+def test_live_update_is_repeatable_and_finishes_leftovers(spark, path):
+    lake = stages.Lake(path("lake"))
+    land(path("one"), body("A", 1, 2))
+    stages.ingest_current(spark, path("one"), lake, NOON)
+    assert [d.day for d in stages.update_live(spark, lake, NOON.date())] == [30]
+    land(path("two"), body("A", 3, day=29), body("B", 1))
+    later = NOON + dt.timedelta(days=1)
+    stages.ingest_current(spark, path("two"), lake, later)
+    # A run before died after it had staged the new Silver partitions.
+    silver_path, stage = f"{lake.live}/weather_observations", f"{lake.live}/stages/silver"
+    leftover = src.read_silver(spark, silver_path, keep_date=True).where("hour(observed_at) = 1")
+    leftover.write.partitionBy("observed_date").parquet(stage)
+    assert [d.day for d in stages.update_live(spark, lake, later.date())] == [29, 30]
+    assert not path_exists(spark, stage)
+    live = stages.read_live(spark, lake)
+    assert values(live.fact_hourly_weather, "date_key", "observation_hour") == [(20251029, 3), (20251030, 1), (20251030, 1)]
+    # Everything again, from the first batch on.
+    stages.update_live(spark, lake, NOON.date())
+    live = stages.read_live(spark, lake)
+    assert values(live.dim_location, "place") == [("A",), ("B",)]
+    fact = live.fact_hourly_weather
+    stages.build_silver(spark, lake)
+    assert values(fact) == values(stages.gold_tables(stages.current_silver(spark, lake)).fact_hourly_weather)
+
+
 def test_nothing_landed(spark, path):
     lake = stages.Lake(path("lake"))
     land(path("landing"), {"place_name": "A", "data": []})

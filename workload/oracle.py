@@ -342,7 +342,7 @@ SELECT observation_id, source, lat, lon, {BATCH} AS _ingested_at, ingest_date, p
     "wind_category": f"{with_(obs())}SELECT id, {WIND} AS wind_category FROM obs",
     "uv_category": f"{with_(obs())}SELECT id, {UV} AS uv_category FROM obs",
     "stage_counts": f"""{with_(obs(), silver())}SELECT (SELECT COUNT(*) FROM obs) AS rows_read,
-  (SELECT COUNT(*) FROM silver) AS rows_kept, (SELECT COUNT(*) FROM obs) - (SELECT COUNT(*) FROM silver) AS rows_removed,
+  (SELECT COUNT(*) FROM obs) - (SELECT COUNT(*) FROM silver) AS rows_removed,
   (SELECT COUNT(*) FROM silver) AS rows_written""",
     "dim_location": f"{with_(obs(), silver(), dims())}SELECT * FROM dim_location",
     "dim_date": f"{with_(obs(), silver(), dims())}SELECT * FROM dim_date",
@@ -445,5 +445,6 @@ UNION ALL SELECT observation_id, source, station, ingest_date + 1 FROM (
 GROUP BY 1, 2, 3, 4
 HAVING date_trunc('hour', observed_at) + INTERVAL 1 HOUR <= (SELECT MAX(observed_at) FROM obs) - INTERVAL 2 HOUR""",
     "incremental_merge": f"{with_(obs(), silver())}SELECT * FROM silver",
+    "incremental_run": f"{with_(obs(), LANDED, silver('landed'), dims(), fact())}{FACT_COLUMNS}",
     "incremental_fact": gold() + FACT_COLUMNS,
 }
