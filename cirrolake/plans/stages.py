@@ -92,14 +92,19 @@ def read_gold(spark: SparkSession, lake: Lake, run_id: str | None = None) -> Gol
     )
 
 
-def build_gold(spark: SparkSession, lake: Lake, database: str | None = None) -> str:
-    """Write the star schema as a new version, test it, and publish it only if every test passes."""
-    run_id = pub.new_run_id()
-    planned = gold_tables(current_silver(spark, lake))
+def write_gold(silver: DataFrame, lake: Lake, run_id: str) -> Gold:
+    """Write the star schema of a Silver table as a version, not yet published, and read it back."""
+    planned = gold_tables(silver)
     for table in ("dim_location", "dim_date", "dim_weather"):
         getattr(planned, table).write.parquet(pub.run_path(lake.gold, run_id, table))
     write_fact(planned.fact_hourly_weather, pub.run_path(lake.gold, run_id, "fact_hourly_weather"))
-    gate(vars(read_gold(spark, lake, run_id)))
+    return read_gold(silver.sparkSession, lake, run_id)
+
+
+def build_gold(spark: SparkSession, lake: Lake, database: str | None = None) -> str:
+    """Write the star schema as a new version, test it, and publish it only if every test passes."""
+    run_id = pub.new_run_id()
+    gate(vars(write_gold(current_silver(spark, lake), lake, run_id)))
     pub.publish_run(spark, lake.gold, run_id)
     pub.repoint_views(spark, lake.gold, run_id, list(GOLD), database)
     return run_id
