@@ -90,12 +90,12 @@ FEATURES = f"""CAST(hour(observed_at) AS INTEGER) AS observation_hour, dayname(o
 
 def silver(source: str = "obs") -> str:
     return f"""
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY place, date_trunc('hour', observed_at)
-    ORDER BY observed_at ASC, ingested_at DESC NULLS LAST, id ASC NULLS LAST) AS rn
-  FROM {source} WHERE observed_at IS NOT NULL AND place IS NOT NULL
+kept AS (
+  SELECT DISTINCT ON (place, date_trunc('hour', observed_at)) * FROM {source}
+  WHERE observed_at IS NOT NULL AND place IS NOT NULL
+  ORDER BY place, date_trunc('hour', observed_at), observed_at, ingested_at DESC NULLS LAST, id NULLS LAST
 ),
-silver AS (SELECT {OBSERVATION_NAMES}, {FEATURES} FROM ranked WHERE rn = 1)"""
+silver AS (SELECT {OBSERVATION_NAMES}, {FEATURES} FROM kept)"""
 
 
 NULL_KEY = "'_dbt_utils_surrogate_key_null_'"
@@ -106,32 +106,27 @@ WEATHER_KEY = (
 
 def dim_date(source: str, ts: str) -> str:
     return f"""
+days AS (SELECT {ts}::DATE AS full_date FROM {source} GROUP BY 1),
 dim_date AS (
-  SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_key, full_date,
-    CAST(EXTRACT(YEAR FROM full_date) AS BIGINT) AS year, CAST(EXTRACT(QUARTER FROM full_date) AS BIGINT) AS quarter,
-    CAST(EXTRACT(MONTH FROM full_date) AS BIGINT) AS month, strftime(full_date, '%B') AS month_name,
-    CAST(EXTRACT(DAY FROM full_date) AS BIGINT) AS day,
-    CAST(EXTRACT(DAYOFWEEK FROM full_date) AS BIGINT) AS day_of_week_sun_0, strftime(full_date, '%A') AS day_name,
-    EXTRACT(DAYOFWEEK FROM full_date) IN (0, 6) AS is_weekend
-  FROM (SELECT DISTINCT CAST({ts} AS DATE) AS full_date FROM {source})
+  SELECT (year(full_date) * 10000 + month(full_date) * 100 + day(full_date))::INTEGER AS date_key, full_date,
+    year(full_date)::BIGINT AS year, quarter(full_date)::BIGINT AS quarter, month(full_date)::BIGINT AS month,
+    monthname(full_date) AS month_name, day(full_date)::BIGINT AS day,
+    dayofweek(full_date)::BIGINT AS day_of_week_sun_0, dayname(full_date) AS day_name,
+    dayname(full_date) IN ('Saturday', 'Sunday') AS is_weekend
+  FROM days
 )"""
 
 
 def dims(source: str = "silver") -> str:
     return f"""
-located AS (
-  SELECT place, api_city, country, latitude, longitude,
-    row_number() OVER (PARTITION BY place ORDER BY ingested_at DESC NULLS LAST, observed_at DESC NULLS LAST, id) AS rn
-  FROM {source} WHERE place IS NOT NULL
-),
-dim_location AS (
-  SELECT md5(place) AS location_key, place, api_city, country, latitude, longitude FROM located WHERE rn = 1
+latest AS (
+  SELECT DISTINCT ON (place) place, api_city, country, latitude, longitude FROM {source} WHERE place IS NOT NULL
+  ORDER BY place, ingested_at DESC NULLS LAST, observed_at DESC NULLS LAST, id
 ),
+dim_location AS (SELECT md5(place) AS location_key, * FROM latest),
 {dim_date(source, 'observed_at')},
-dim_weather AS (
-  SELECT {WEATHER_KEY} AS weather_key, weather_code, weather_description
-  FROM (SELECT DISTINCT weather_code, weather_description FROM {source})
-)"""
+pairs AS (SELECT weather_code, weather_description FROM {source} GROUP BY ALL),
+dim_weather AS (SELECT {WEATHER_KEY} AS weather_key, * FROM pairs)"""
 
 
 def exact_mean(x: str, scale: int) -> str:
@@ -143,20 +138,24 @@ def exact_sum(x: str, scale: int) -> str:
 
 
 def fact(source: str = "silver", scale: int | None = None) -> str:
+    """Each row looks its keys up; a missing match leaves null."""
     avg = (lambda x: f"AVG({x})") if scale is None else (lambda x: exact_mean(x, scale))
     total = (lambda x: f"SUM({x})") if scale is None else (lambda x: exact_sum(x, scale))
     return f"""
-fact AS (
-  SELECT l.location_key, d.date_key, w.weather_key, s.observation_hour,
-    {avg('s.temperature')} AS avg_temperature_celsius, {avg('s.apparent_temperature')} AS avg_feels_like_celsius,
-    {avg('s.humidity')} AS avg_humidity_percent, MAX(s.wind_speed) AS max_wind_speed_ms,
-    {avg('s.cloud_cover')} AS avg_cloud_coverage_percent, {total('s.precipitation')} AS total_precipitation_mmh,
-    COUNT(s.id) AS observation_count
+keyed AS (
+  SELECT s.*,
+    (SELECT x.location_key FROM dim_location x WHERE x.place = s.place) AS location_key,
+    (SELECT x.date_key FROM dim_date x WHERE x.full_date = s.observed_at::DATE) AS date_key,
+    (SELECT x.weather_key FROM dim_weather x
+      WHERE x.weather_code = s.weather_code AND x.weather_description = s.weather_description) AS weather_key
   FROM {source} s
-  LEFT JOIN dim_location l ON s.place = l.place
-  LEFT JOIN dim_date d ON CAST(s.observed_at AS DATE) = d.full_date
-  LEFT JOIN dim_weather w ON s.weather_code = w.weather_code AND s.weather_description = w.weather_description
-  GROUP BY l.location_key, d.date_key, w.weather_key, s.observation_hour
+),
+fact AS (
+  SELECT location_key, date_key, weather_key, observation_hour, COUNT(id) AS observation_count,
+    MAX(wind_speed) AS max_wind_speed_ms, {avg('temperature')} AS avg_temperature_celsius,
+    {avg('apparent_temperature')} AS avg_feels_like_celsius, {avg('humidity')} AS avg_humidity_percent,
+    {avg('cloud_cover')} AS avg_cloud_coverage_percent, {total('precipitation')} AS total_precipitation_mmh
+  FROM keyed GROUP BY location_key, date_key, weather_key, observation_hour
 )"""
 
 
@@ -168,22 +167,25 @@ def gold(gaps: bool = False) -> str:
     return with_(obs(gaps), silver(), dims(), fact())
 
 
-JOINED = """fact f LEFT JOIN dim_location l ON f.location_key = l.location_key
-  LEFT JOIN dim_date d ON f.date_key = d.date_key LEFT JOIN dim_weather w ON f.weather_key = w.weather_key"""
+LABELLED = """(SELECT * EXCLUDE (latitude, longitude, country, api_city) FROM fact
+  LEFT JOIN (SELECT * FROM dim_location) USING (location_key)
+  LEFT JOIN (SELECT date_key, full_date FROM dim_date) USING (date_key)
+  LEFT JOIN (SELECT weather_key, weather_description FROM dim_weather) USING (weather_key))"""
 
 
 def by_place(value: str, order: str) -> str:
-    return f"""{gold()}SELECT l.place AS place, {value} AS value FROM {JOINED}
-GROUP BY l.place ORDER BY value {order} NULLS LAST, place ASC NULLS LAST LIMIT 5"""
+    return f"""{gold()}SELECT place, {value} AS value FROM {LABELLED}
+GROUP BY place ORDER BY value {order} NULLS LAST, place ASC NULLS LAST LIMIT 5"""
 
 
 def detail(where: str, gaps: bool) -> str:
-    return f"""{gold(gaps)}SELECT d.full_date AS "Date", f.observation_hour AS "Hour", l.place AS "Location",
-  ROUND(f.avg_temperature_celsius, 1) AS "Temperature (°C)", w.weather_description AS "Weather Description",
-  f.observation_count AS "Observation Count"
-FROM {JOINED} WHERE 1 = 1 {where}
-ORDER BY d.full_date DESC NULLS LAST, f.observation_hour DESC NULLS LAST, l.place NULLS LAST,
-  w.weather_description NULLS LAST, f.location_key NULLS LAST, f.weather_key NULLS LAST LIMIT 200"""
+    return f"""{gold(gaps)}, newest AS (
+  SELECT * FROM {LABELLED} WHERE {where}
+  ORDER BY full_date DESC NULLS LAST, observation_hour DESC NULLS LAST, place NULLS LAST,
+    weather_description NULLS LAST, location_key NULLS LAST, weather_key NULLS LAST LIMIT 200)
+SELECT full_date AS "Date", place AS "Location", observation_hour AS "Hour",
+  weather_description AS "Weather Description", observation_count AS "Observation Count",
+  ROUND(avg_temperature_celsius, 1) AS "Temperature (°C)" FROM newest"""
 
 
 def trend(hours: int, unit: str) -> str:
@@ -359,11 +361,11 @@ SELECT observation_id, source, lat, lon, {BATCH} AS _ingested_at, ingest_date, p
     + f"SELECT {exact_mean('avg_cloud_coverage_percent', 3)} AS average_cloud_coverage FROM fact",
     "kpi_highest_wind": gold() + "SELECT MAX(max_wind_speed_ms) AS highest_wind FROM fact",
     "kpi_filtered": gold()
-    + f"""SELECT {exact_mean('avg_temperature_celsius', 3)} AS average_temperature FROM {JOINED}
-WHERE d.full_date BETWEEN {FILTER_DATES} AND l.place IN {FILTER_PLACES}""",
+    + f"""SELECT {exact_mean('avg_temperature_celsius', 3)} AS average_temperature FROM {LABELLED}
+WHERE full_date BETWEEN {FILTER_DATES} AND place IN {FILTER_PLACES}""",
     "daily_trend": gold()
-    + f"""SELECT d.full_date AS full_date, {exact_mean('avg_temperature_celsius', 3)} AS avg_temperature,
-  {exact_sum('total_precipitation_mmh', 3)} AS total_precipitation FROM {JOINED} GROUP BY d.full_date""",
+    + f"""SELECT full_date, {exact_mean('avg_temperature_celsius', 3)} AS avg_temperature,
+  {exact_sum('total_precipitation_mmh', 3)} AS total_precipitation FROM {LABELLED} GROUP BY full_date""",
     "location_map": gold() + "SELECT place, latitude, longitude FROM dim_location",
     "top5_highest_temperature": by_place(exact_mean("avg_temperature_celsius", 3), "DESC"),
     "bottom5_lowest_temperature": by_place(exact_mean("avg_temperature_celsius", 3), "ASC"),
@@ -372,13 +374,13 @@ WHERE d.full_date BETWEEN {FILTER_DATES} AND l.place IN {FILTER_PLACES}""",
     "top5_strongest_wind": by_place("MAX(max_wind_speed_ms)", "DESC"),
     "bottom5_weakest_wind": by_place("MAX(max_wind_speed_ms)", "ASC"),
     "weather_distribution": gold()
-    + f"""SELECT l.place AS place, w.weather_description AS weather_description,
-  CAST(SUM(f.observation_count) AS BIGINT) AS observation_count,
-  CAST(SUM(f.observation_count) AS DOUBLE)
-    / CAST(SUM(SUM(f.observation_count)) OVER (PARTITION BY l.place) AS DOUBLE) AS share
-FROM {JOINED} GROUP BY l.place, w.weather_description""",
-    "detail_table": detail("", gaps=True),
-    "detail_filtered": detail(f"AND d.full_date BETWEEN {FILTER_DATES} AND l.place IN {FILTER_PLACES}", gaps=False),
+    + f"""SELECT place, weather_description,
+  CAST(SUM(observation_count) AS BIGINT) AS observation_count,
+  CAST(SUM(observation_count) AS DOUBLE)
+    / CAST(SUM(SUM(observation_count)) OVER (PARTITION BY place) AS DOUBLE) AS share
+FROM {LABELLED} GROUP BY place, weather_description""",
+    "detail_table": detail("true", gaps=True),
+    "detail_filtered": detail(f"full_date BETWEEN {FILTER_DATES} AND place IN {FILTER_PLACES}", gaps=False),
     "last_24h_trend": trend(24, "hour"),
     "last_24h_partitions": trend(24, "hour"),
     "last_7d_trend": trend(168, "day"),
@@ -402,9 +404,9 @@ grid AS (SELECT n_name AS place, unnest(generate_series((SELECT MIN(h) FROM hour
 SELECT place, CAST(hour AS TIMESTAMP) AS hour FROM grid g
 WHERE NOT EXISTS (SELECT 1 FROM hours x WHERE x.place = g.place AND x.h = g.hour)""",
     "condition_frequency": gold()
-    + f"""SELECT w.weather_description AS weather_description, CAST(SUM(f.observation_count) AS BIGINT) AS observation_count,
-  CAST(SUM(f.observation_count) AS DOUBLE) / CAST((SELECT SUM(observation_count) FROM fact) AS DOUBLE) AS share
-FROM {JOINED} GROUP BY w.weather_description""",
+    + f"""SELECT weather_description, CAST(SUM(observation_count) AS BIGINT) AS observation_count,
+  CAST(SUM(observation_count) AS DOUBLE) / CAST((SELECT SUM(observation_count) FROM fact) AS DOUBLE) AS share
+FROM {LABELLED} GROUP BY weather_description""",
     "dq_unique": """SELECT o_custkey, COUNT(*) AS n_records FROM orders WHERE o_custkey IS NOT NULL
 GROUP BY o_custkey HAVING COUNT(*) > 1""",
     "dq_not_null": "SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_orderstatus FROM orders WHERE o_orderstatus = 'P'",
