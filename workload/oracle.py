@@ -329,11 +329,11 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "observation_id": f"""SELECT event_id, {observation_id(
         'weatherbit', '(value / CAST(7 AS DOUBLE))', '(value / CAST(-1000 AS DOUBLE))', 'CAST(floor(epoch(ts)) AS BIGINT)'
     )} AS observation_id FROM events""",
-    "bronze_envelope": f"""{with_(obs())}{', '.join([''])}
+    "bronze_envelope": f"""{with_(obs())}
 SELECT observation_id, source, lat, lon, {BATCH} AS _ingested_at, ingest_date, place_name, ts FROM (
-  SELECT *, (SELECT 1) AS one FROM ({CURRENT.replace(' FROM obs', f', place AS place_name, {EPOCH} AS ts FROM obs')})
+  {CURRENT.replace(' FROM obs', f', place AS place_name, {EPOCH} AS ts FROM obs')}
   UNION ALL
-  SELECT *, 1 FROM ({BACKFILLED.replace(' FROM obs', f', place AS place_name, {EPOCH} AS ts FROM obs')}))""",
+  {BACKFILLED.replace(' FROM obs', f', place AS place_name, {EPOCH} AS ts FROM obs')})""",
     "json_flatten": f"{with_(obs(), LANDED)}SELECT {OBSERVATION_NAMES} FROM landed",
     "silver_full": f"{with_(obs(), LANDED, silver('landed'))}SELECT * FROM silver",
     "epoch_to_ts": "SELECT event_id, date_trunc('second', ts) AS observed_at FROM events WHERE event_type <> 'error'",

@@ -35,8 +35,9 @@ SCALE = 3
 
 def _without_zone(df: DataFrame) -> DataFrame:
     """UTC instants as plain date-times, which is what the SQL side has."""
-    return df.select(*[F.col(f"`{n}`").cast("timestamp_ntz").alias(n) if k == "timestamp" else F.col(f"`{n}`")
-                       for n, k in df.dtypes])
+    zoned = {n for n, kind in df.dtypes if kind == "timestamp"}
+    columns = {n: F.col(f"`{n}`") for n in df.columns}
+    return df.select(*[c.cast("timestamp_ntz").alias(n) if n in zoned else c for n, c in columns.items()])
 
 
 def query(function: Query) -> Query:
