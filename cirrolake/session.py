@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,17 +39,16 @@ def local_session(cores: int | str = 8, app: str = "cirrolake", memory: str = "8
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder for tables of one run, below the shared folder that the cluster names.
+    """A new folder for tables of one run, below the shared folder that the cluster names in `spark.checkpoint.dir`.
 
-    Without `spark.checkpoint.dir` only a local session gets a folder of this machine; on a cluster the executors
-    would not see each other's files there, so it is an error.
+    Where that is unset the folder lies in the warehouse, which all executors share as well. It is removed when the
+    session's JVM ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return f"{base.rstrip('/')}/cirrolake/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix=f"cirrolake-{label}-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/cirrolake/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def s3_settings(endpoint: str, access_key: str, secret_key: str) -> dict[str, str]:
