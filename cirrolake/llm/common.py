@@ -50,3 +50,10 @@ def batchwise(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch], s
         return map(step, batches)
 
     return df.mapInArrow(run, schema)
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of at most `rows` rows, so that what a batch gives stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
