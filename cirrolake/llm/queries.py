@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cirrolake.llm import bpe, simhash, toxicity
+from cirrolake.llm import bpe, line_dedup, simhash, toxicity
 from cirrolake.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeats(docs).select("doc_id", "lines_removed", "removed", "text")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = bpe.shared_codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     coded = bpe.round_trip(table(spark, sf_dir, "documents"), codec)
@@ -44,6 +49,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_line_dedup": op4_line_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_toxicity": op7_toxicity,
     "op3_simhash": op3_simhash,
