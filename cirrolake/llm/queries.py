@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cirrolake.llm import bpe, line_dedup, simhash, toxicity
+from cirrolake.llm import bpe, decontaminate, line_dedup, simhash, toxicity
 from cirrolake.llm.common import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -52,6 +57,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_toxicity": op7_toxicity,
+    "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
 }
 ORACLE: dict[str, str] = {}
