@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -97,7 +98,7 @@ class Triples:
     def project(self, words: list[str], table: np.ndarray) -> np.ndarray:
         """For each word its scaled triples times `table` (triples by columns)."""
         found = np.zeros((len(words), table.shape[1]), table.dtype)
-        for places, codes, weights in self.grouped(words, 2048 if table.shape[1] == 1 else 256):
+        for places, codes, weights in self.grouped(words, 2048 if table.shape[1] == 1 else 32):
             norms = np.sqrt((weights**2).sum(axis=1))
             scaled = (weights / np.where(norms > 0, norms, 1.0)[:, None]).astype(table.dtype)
             if table.shape[1] == 1:
@@ -108,7 +109,7 @@ class Triples:
 
     def table(self, landmarks: list[str]) -> np.ndarray:
         """A column of scaled triples for each landmark."""
-        found = np.zeros((LETTERS**3, len(landmarks)))
+        found = np.zeros((LETTERS**3, len(landmarks)), np.float32)
         for places, codes, weights in self.grouped(landmarks):
             norms = np.sqrt((weights**2).sum(axis=1))
             np.add.at(found, (codes, places[:, None]), weights / np.where(norms > 0, norms, 1.0)[:, None])
@@ -146,9 +147,13 @@ def fit_svm(
     penalty[-1] = 1e-9
     for _ in range(rounds):
         active = y * (x @ w) < 1
-        xa, wa = x[active], weight[active]
-        hessian = (xa * wa[:, None]).T @ xa + np.diag(penalty)
-        step = np.linalg.solve(hessian, xa.T @ (wa * y[active])) - w
+        hessian, target = np.diag(penalty), np.zeros(x.shape[1])
+        for low in range(0, len(x), 4096):
+            part = np.flatnonzero(active[low : low + 4096]) + low
+            xa, wa = x[part].astype(float), weight[part]
+            hessian += (xa * wa[:, None]).T @ xa
+            target += xa.T @ (wa * y[part])
+        step = np.linalg.solve(hessian, target) - w
         w += step
         if np.abs(step).max() < 1e-4:
             break
@@ -187,9 +192,8 @@ def _association(toxic: Counter, clean: Counter, n1: int, n0: int) -> dict[str,
     return found
 
 
-def train(rows: list[tuple[list[str], int]], landmarks: int = 160, decay: float = 0.6, rounds: int = 8, mined: int = 4000) -> Model | None:
-    """A model from texts as lists of different tokens, with labels 1 and 0; None where a class is missing."""
-    rows = [(sorted({u for t in found for u in units(t) if len(u) > 2}), y) for found, y in rows]
+def train(rows: list[tuple[list[str], int]], landmarks: int = 224, decay: float = 0.6, rounds: int = 8, mined: int = 4000) -> Model | None:
+    """A model from texts as lists of different units, with labels 1 and 0; None where a class is missing."""
     n1, n0 = sum(y == 1 for _, y in rows), sum(y == 0 for _, y in rows)
     if not n1 or not n0:
         return None
@@ -210,7 +214,7 @@ def train(rows: list[tuple[list[str], int]], landmarks: int = 160, decay: float
     table = triples.table(chosen)
     values, vectors = np.linalg.eigh(triples.project(chosen, table))
     keep = values > 1e-6
-    table = (table @ (vectors[:, keep] / np.sqrt(values[keep]))).astype(np.float32)
+    table = table @ (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
 
     vocabulary = sorted(set(clean) | set(toxic))
     number = {u: i for i, u in enumerate(vocabulary)}
@@ -250,7 +254,7 @@ class _Features:
     def of(self, places: np.ndarray) -> np.ndarray:
         new = [i for i in places.tolist() if i not in self.rows]
         self.rows.update(zip(new, self.triples.project([self.words[i] for i in new], self.table)))
-        found = np.ones((len(places), self.table.shape[1] + 1))
+        found = np.ones((len(places), self.table.shape[1] + 1), np.float32)
         for row, place in enumerate(places.tolist()):
             found[row, :-1] = self.rows[place]
         return found
@@ -258,7 +262,7 @@ class _Features:
 
 def _spread(triples: Triples, words: list[str], count: int) -> list[str]:
     """The first of `words`, leaving out those that are nearly a chosen one, then filled up in order."""
-    projected = triples.table(words[: 8 * count])
+    projected = triples.table(words[: 3 * count])
     alike = projected.T @ projected
     chosen: list[int] = []
     for i in range(alike.shape[0]):
@@ -291,10 +295,12 @@ def hash_of(token: str) -> int:
     return int.from_bytes(token.encode()[-8:], "little") * 0x9E3779B97F4A7C15 % (1 << 64)
 
 
-def fit(docs: DataFrame, labels: DataFrame, bound: int = 2000, words: int = 1500) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, bound: int = 1800, words: int = 1000) -> Model | None:
     """A model from the labelled rows of `docs` (doc_id, text): at most `bound` ids of each class and `words` tokens of each."""
     sample = labelled_sample(keyed_texts(docs), labels, bound, words).collect()
-    rows = sorted((r.found, r.label) for r in sample)
+    # Words are interned, as most are in many texts; the order of the rows must not matter.
+    rows = sorted((sorted({sys.intern(u) for t in found for u in units(t) if len(u) > 2}), y) for found, y in sample)
+    del sample
     return train(rows)
 
 

@@ -82,7 +82,7 @@ def test_no_labels_and_no_rows(spark):
     assert toxicity.fit(one, one.select("doc_id", "label")) is None
     assert toxicity.fit(empty, empty.select("doc_id", "label")) is None
     assert [r.score for r in toxicity.scored(one, None).collect()] == [0.0]
-    model = toxicity.train([(["idiot", "one"], 1), (["one", "two"], 0)])
+    model = toxicity.train([(["\x01idiot\x02", "\x01one\x02"], 1), (["\x01one\x02", "\x01two\x02"], 0)])
     assert toxicity.scored(empty, model).collect() == []
 
 
