@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cirrolake.llm import bpe, decontaminate, line_dedup, simhash, toxicity
-from cirrolake.llm.common import table
+from cirrolake.llm import bpe, decontaminate, line_dedup, simhash, toxicity, warc
+from cirrolake.llm.common import table, written
+from cirrolake.session import scratch_dir
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,15 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("uri"), F.col("html").alias("payload"))
+    path = f"{scratch_dir(spark, 'archives')}/warc"
+    warc.write_archives(pages, path)
+    # Read once: what is kept of each record is its head.
+    heads = written(warc.read_archives(spark, path, payloads=False), "record-heads")
+    return warc.resolved(heads).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def learning_part(doc_id: str, left_out: int) -> Column:
     """Whether a row may be learnt from: all but one of five parts, drawn by the checksum of the id as text."""
     return F.crc32(F.col(doc_id).cast("string")) % 5 != left_out
@@ -56,8 +66,28 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
 }
-ORACLE: dict[str, str] = {}
+#: Ten hex digits of a SHA-1, from `at` on, as eight base32 digits.
+BASE32_PART = """list_aggregate(list_transform(range(8), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(h, {at}, 10))::BIGINT >> (35 - 5 * j)) & 31) + 1)::BIGINT, 1)), 'string_agg', '')"""
+
+ORACLE: dict[str, str] = {
+    "op6_warc": f"""
+        WITH hashed AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+        ), named AS (
+            SELECT page_id, payload_bytes,
+                {" || ".join(BASE32_PART.format(at=at) for at in (1, 11, 21, 31))} AS payload_digest
+            FROM hashed
+        ), firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM named
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+        FROM firsts""",
+}
