@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cirrolake.llm import bpe, decontaminate, line_dedup, simhash, toxicity, warc
+from cirrolake.llm import bpe, decontaminate, line_dedup, order_minhash, simhash, toxicity, warc
 from cirrolake.llm.common import table, written
 from cirrolake.session import scratch_dir
 
@@ -63,11 +63,25 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.beside_next(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.as_hex(F.col("signature")).alias("fingerprint"),
+        order_minhash.as_hex(F.col("edited_signature")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
+        order_minhash.likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+    )
+
+
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
+    "op9_order_minhash": op9_order_minhash,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
 }
