@@ -26,17 +26,21 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(docs).select("doc_id", "lines_removed", "removed", "text")
 
 
-def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def byte_bpe(spark: SparkSession, docs: DataFrame) -> DataFrame:
     codec = bpe.shared_codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = bpe.round_trip(table(spark, sf_dir, "documents"), codec)
-    return coded.select(
+    return bpe.round_trip(docs, codec).select(
         "doc_id",
+        "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe(spark, table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("uri"), F.col("html").alias("payload"))
     path = f"{scratch_dir(spark, 'archives')}/warc"
@@ -51,10 +55,14 @@ def learning_part(doc_id: str, left_out: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % 5 != left_out
 
 
-def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model | None:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     learnt = labels.where(learning_part("doc_id", 0)).select("doc_id", F.col("toxic").alias("label"))
-    found = toxicity.scored(docs, toxicity.fit(docs, learnt))
+    return toxicity.fit(docs, learnt)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scored(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
     return found.select(
         "doc_id",
         F.coalesce(~learning_part("doc_id", 0), F.lit(False)).alias("held_out"),

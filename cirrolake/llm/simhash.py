@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cirrolake.llm.common import as_bytes, batchwise, keyed_texts, words, written
+from cirrolake.llm.common import as_bytes, batchwise, keyed_texts, text_key, words, written
 from cirrolake.llm.graph import components
 
 SEED = 42
@@ -49,13 +49,14 @@ def simhash(text: bytes, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fingerprint) for every row."""
+    """(doc_id, text_key, fingerprint) for every row; text_key is a hash of the text."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [simhash(t, width) for t in as_bytes(batch, "text")]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fingerprint"])
+        found = pa.array([simhash(t, width) for t in as_bytes(batch, "text")], pa.int64())
+        return pa.RecordBatch.from_arrays([*batch.select(["doc_id", "text_key"]).columns, found], ["doc_id", "text_key", "fingerprint"])
 
-    return batchwise(keyed_texts(docs, doc_id, text), step, "doc_id bigint, fingerprint bigint")
+    chosen = keyed_texts(docs, doc_id, text).withColumn("text_key", text_key())
+    return batchwise(chosen, step, "doc_id bigint, text_key bigint, fingerprint bigint")
 
 
 def _without_one(value: Column, low: int, width: int, tag: int) -> list[Column]:
@@ -113,7 +114,10 @@ def links(prints: DataFrame, distance: int = 3, largest: int = LARGEST_BUCKET) -
     if not 0 <= distance <= 3:
         raise ValueError("two segments with one bit left out find differences of up to three bits")
     value = F.col("fingerprint")
-    level = prints.select("fingerprint").distinct().select("fingerprint", F.explode(_halves(value, 0, 64)).alias("cut"))
+    # A row becomes 64, so rows are dealt over as many tasks as the session's shuffles have.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    level = prints.select("fingerprint").distinct().repartition(tasks, "fingerprint")
+    level = level.select("fingerprint", F.explode(_halves(value, 0, 64)).alias("cut"))
     level = level.select("fingerprint", F.col("cut.key").alias("key"), F.col("cut.rest").alias("rest"))
     found = []
     for width in (32, 16, 8):
@@ -144,7 +148,8 @@ def links(prints: DataFrame, distance: int = 3, largest: int = LARGEST_BUCKET) -
 def near_duplicates(
     docs: DataFrame, width: int = 3, distance: int = 3, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row; component_id is the smallest doc_id it is linked with.
+    """(doc_id, text_key, fingerprint, component_id, component) for every row; component_id is the smallest doc_id it is
+    linked with, component the smallest fingerprint.
 
     Rows whose fingerprints differ in at most `distance` bits are linked, and links carry on. Null and empty texts have
     fingerprint zero and are linked like any other. Repeated rows keep their number. A null doc_id takes part in the
@@ -156,6 +161,23 @@ def near_duplicates(
     groups = distinct.join(joined, "fingerprint", "left")
     linked = groups.where("component is not null")
     smallest = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = linked.join(smallest, "component").select("fingerprint", "component_id")
-    alone = groups.where("component is null").select("fingerprint", F.col("first").alias("component_id"))
-    return prints.join(named.unionByName(alone), "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = linked.join(smallest, "component").select("fingerprint", "component_id", "component")
+    alone = groups.where("component is null")
+    alone = alone.select("fingerprint", F.col("first").alias("component_id"), F.col("fingerprint").alias("component"))
+    found = prints.join(named.unionByName(alone), "fingerprint")
+    return found.select("doc_id", "text_key", "fingerprint", "component_id", "component")
+
+
+def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row with the smallest doc_id of each group of near-duplicates, with all its columns.
+
+    A row without id stays only where its group has no other; of rows with one id the one with the smallest hash of
+    its text stays, and of repeated rows one.
+    """
+    groups = near_duplicates(docs, width, distance, doc_id, text)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("text_key"))
+    first = groups.groupBy("component").agg(F.min(order).alias("first"))
+    first = written(first.select(F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key")), "first-ones")
+    keyed = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = keyed[doc_id].eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key"))
+    return keyed.join(first, same, "left_semi").dropDuplicates([doc_id, "__text"]).drop("__text")

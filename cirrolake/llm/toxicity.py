@@ -304,6 +304,22 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 1800, words: int = 1000
     return train(rows)
 
 
+class _Scorer:
+    """Scores texts in a worker, remembering words."""
+
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
+
+    def of(self, texts: list[str | None]) -> np.ndarray:
+        found = [tokens(t or "") for t in texts]
+        fresh = list(set().union(*found).difference(self.known))
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known, fresh = {}, list(set().union(*found))
+        self.known.update(zip(fresh, self.model.word_scores(fresh).tolist()))
+        best = [max(map(self.known.__getitem__, t), default=self.model.bias) for t in found]
+        return self.model.score(np.array(best))
+
+
 def scored(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score) of every row, over the whole text; without a model every score is 0.
 
@@ -315,14 +331,23 @@ def scored(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: s
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 64,000 weights, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, known = shared.value, {}
+        scorer = _Scorer(shared.value)
         for batch in pieces(batches):
-            texts = [tokens(t) for t in batch.column("text").to_pylist()]
-            fresh = list(set().union(*texts).difference(known))
-            if len(known) + len(fresh) > REMEMBERED:
-                known, fresh = {}, list(set().union(*texts))
-            known.update(zip(fresh, machine.word_scores(fresh).tolist()))
-            best = np.array([max(map(known.__getitem__, t), default=machine.bias) for t in texts])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(machine.score(best))], ["doc_id", "score"])
+            scores = pa.array(scorer.of(batch.column("text").to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
 
     return chosen.mapInArrow(run, "doc_id bigint, score double")
+
+
+def clean(docs: DataFrame, model: Model | None, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of `docs` whose score is below `threshold`, with all their columns; without a model all rows."""
+    if model is None:
+        return docs
+    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(shared.value)
+        for batch in pieces(batches):
+            yield batch.filter(pa.array(scorer.of(batch.column(place).to_pylist()) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -37,7 +37,8 @@ def plain_components(ids, prints, distance=3):
 
 def check(spark, rows):
     df = spark.createDataFrame([(i, t, "other", 1) for i, t in rows], SCHEMA)
-    found = sorted(map(tuple, simhash.near_duplicates(df).collect()), key=str)
+    found = simhash.near_duplicates(df).select("doc_id", "fingerprint", "component_id").collect()
+    found = sorted(map(tuple, found), key=str)
     prints = [plain_print(t) for _, t in rows]
     expected = plain_components([i for i, _ in rows], prints)
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
@@ -88,3 +89,10 @@ def test_query_over_the_given_table(spark):
     expected = zip([r.doc_id for r in rows], prints, plain_components([r.doc_id for r in rows], prints))
     got = {(r.doc_id, int(r.fingerprint, 16), r.component_id) for r in op3_simhash(spark, "/root/testdata/sf0.001").collect()}
     assert got == set(expected)
+
+
+def test_one_of_each_group_stays(spark):
+    rows = [(4, "a b c d"), (2, "A B c d"), (2, "A B c d"), (None, "a b c d"), (None, "x y z"), (None, "p q r s"), (9, None), (8, "")]
+    df = spark.createDataFrame([(i, t, "f", 1) for i, t in rows], SCHEMA)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.one_of_each(df).collect()), key=str)
+    assert kept == sorted([(2, "A B c d"), (None, "x y z"), (None, "p q r s"), (8, "")], key=str)
