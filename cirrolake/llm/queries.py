@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cirrolake.llm import bpe, decontaminate, line_dedup, order_minhash, simhash, toxicity, warc
+from cirrolake.llm import bpe, decontaminate, line_dedup, order_minhash, simhash, token_counts, toxicity, warc
 from cirrolake.llm.common import table, written
 from cirrolake.session import scratch_dir
 
@@ -71,6 +71,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counter = token_counts.shared_counter(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_counts.counted(table(spark, sf_dir, "documents"), counter)
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = order_minhash.beside_next(table(spark, sf_dir, "documents"))
     return found.select(
@@ -89,6 +94,7 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
+    "op8_token_counts": op8_token_counts,
     "op9_order_minhash": op9_order_minhash,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
