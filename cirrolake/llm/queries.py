@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cirrolake.llm import bpe, decontaminate, line_dedup, order_minhash, simhash, token_counts, toxicity, warc
+from cirrolake.llm import bpe, decontaminate, licenses, line_dedup, order_minhash, simhash, token_counts, toxicity, warc
 from cirrolake.llm.common import table, written
 from cirrolake.session import scratch_dir
 
@@ -89,6 +89,10 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_byte_bpe": op5_byte_bpe,
@@ -96,6 +100,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_order_minhash": op9_order_minhash,
+    "op10_licenses": op10_licenses,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
 }
