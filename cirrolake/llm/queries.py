@@ -6,11 +6,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cirrolake.llm import bpe, decontaminate, licenses, line_dedup, order_minhash, simhash, token_counts, toxicity, warc
+from cirrolake.llm import bpe, decontaminate, language_model, licenses, line_dedup, order_minhash, simhash, token_counts, toxicity, warc
 from cirrolake.llm.common import table, written
 from cirrolake.session import scratch_dir
 
 
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_model.scored(docs, learning_part("doc_id", 1))
+    return found.select(
+        "doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_key")
@@ -101,6 +109,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_order_minhash": op9_order_minhash,
     "op10_licenses": op10_licenses,
+    "op1_language_model": op1_language_model,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
 }
