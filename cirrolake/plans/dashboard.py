@@ -201,6 +201,7 @@ def detail_table(gold: Gold, dates: Dates = None, places: Places = None, limit:
         F.col("location_key").asc_nulls_last(),
         F.col("weather_key").asc_nulls_last(),
     ).limit(limit)
+    # The titles of the columns.
     return newest.select(
         F.col("full_date").alias("Date"),
         F.col("observation_hour").alias("Hour"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -18,8 +19,9 @@ from cirrolake.schemas import GOLD, SILVER
 from cirrolake.sinks import publish as pub
 from cirrolake.sinks.merge import finish_replacement
 from cirrolake.sinks.tables import append_bronze, write_fact, write_silver
-from cirrolake.sources.responses import current_observations, history_observations, read_responses
+from cirrolake.sources.responses import history_observations, read_responses
 from cirrolake.sources.tables import FACT_PARTITION, SILVER_PARTITION, read_bronze, read_gold_table, read_silver
+from cirrolake.streaming.intake import start_intake
 from cirrolake.streaming.merge import merge_silver, refresh_fact
 
 
@@ -47,21 +49,31 @@ class Lake:
         return f"{self.root.rstrip('/')}/live"
 
 
+def _short(text: str) -> str:
+    return hashlib.md5(text.encode()).hexdigest()[:12]
+
+
 def ingest_current(spark: SparkSession, landing: str, lake: Lake, ingested_at: dt.datetime) -> int:
-    """Append landed current-conditions responses to Bronze; returns the number of rows."""
-    rows = current_observations(read_responses(spark, landing))
-    return append_bronze(bz.current_to_bronze(rows, ingested_at), lake.bronze)
+    """Append current-conditions responses to Bronze, each landed file once; returns the number of rows."""
+    appended: list[int] = []
+    checkpoint = f"{lake.root.rstrip('/')}/checkpoints/current-{_short(landing)}"
+    start_intake(spark, landing, lake.bronze, checkpoint, "current", ingested_at, appended=appended).awaitTermination()
+    return sum(appended)
 
 
 def backfill(
     spark: SparkSession, landing: str, lake: Lake, ingested_at: dt.datetime, start: dt.date, end: dt.date
 ) -> int:
-    """Append landed history responses to Bronze, the observations from `start` up to and including `end`."""
+    """Append landed history responses to Bronze, the observations from `start` up to and including `end`.
+
+    The same backfill again replaces what it appended.
+    """
     low = dt.datetime.combine(start, dt.time(), dt.UTC).timestamp()
     high = dt.datetime.combine(end + dt.timedelta(days=1), dt.time(), dt.UTC).timestamp()
     seconds = jsonmap.text(F.col("obs"), "ts").try_cast("double")
     rows = history_observations(read_responses(spark, landing)).where((seconds >= low) & (seconds < high))
-    return append_bronze(bz.history_to_bronze(rows, ingested_at), lake.bronze)
+    batch = f"backfill-{_short(landing)}-{start}-{end}"
+    return append_bronze(bz.history_to_bronze(rows, ingested_at), lake.bronze, batch)
 
 
 def build_silver(spark: SparkSession, lake: Lake) -> str | None:
@@ -116,14 +128,19 @@ LIVE_SILVER_SCHEMA = T.StructType([*SILVER.fields, T.StructField(SILVER_PARTITIO
 def update_live(spark: SparkSession, lake: Lake, since: dt.date) -> list[dt.date]:
     """Fold the Bronze partitions from `since` on into the live Silver and fact; returns the dates rewritten.
 
-    What a run before it left half-way is finished first. Updating again with the same or an earlier `since` changes
+    New partitions are tested as a star schema of their own before they replace old ones: a batch that fails raises and
+    leaves the live tables as they were. What a run before it left half-way is finished first. Updating again with the same or an earlier `since` changes
     nothing, so a failed run is repeated as it was.
     """
     silver, fact = f"{lake.live}/weather_observations", f"{lake.live}/fact_hourly_weather"
     stages = {silver: f"{lake.live}/stages/silver", fact: f"{lake.live}/stages/fact"}
-    finish_replacement(spark, LIVE_SILVER_SCHEMA, silver, stages[silver], SILVER_PARTITION)
+
+    def check(staged: DataFrame) -> None:
+        gate(vars(gold_tables(staged.select(*SILVER.names))))
+
+    finish_replacement(spark, LIVE_SILVER_SCHEMA, silver, stages[silver], SILVER_PARTITION, check)
     finish_replacement(spark, GOLD["fact_hourly_weather"], fact, stages[fact], FACT_PARTITION)
-    dates = merge_silver(observations(read_bronze(spark, lake.bronze, since)), silver, stages[silver])
+    dates = merge_silver(observations(read_bronze(spark, lake.bronze, since)), silver, stages[silver], check)
     refresh_fact(spark, silver, fact, stages[fact], dates)
     return dates
 

@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Of a JSON object's repeated key the last value counts.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -46,9 +49,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     folder = f"{base.rstrip('/')}/cirrolake/{label}-{uuid.uuid4().hex}"
+    remove_at_exit(spark, folder)
+    return folder
+
+
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have the file system remove a folder when the session's JVM ends; until then DataFrames may still read it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return folder
 
 
 def s3_settings(endpoint: str, access_key: str, secret_key: str) -> dict[str, str]:

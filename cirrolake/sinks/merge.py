@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -20,28 +22,40 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_hadoop_path(spark, path))
 
 
-def replace_partitions(rows: DataFrame, path: str, stage: str, partition: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+
+
+Check = Callable[[DataFrame], None]
+
+
+def replace_partitions(rows: DataFrame, path: str, stage: str, partition: str, check: Check | None = None) -> None:
     """Write `rows` over the partitions of `path` that they fall into; other partitions stay.
 
     The rows may be read from `path`, so they go to `stage` first, a folder for this one change. A complete stage (with
     its success mark) is taken as it is: a run that died while replacing partitions is finished by calling again with
-    the same stage. It is removed at the end.
+    the same stage. It is removed at the end. `check` may raise on the staged rows: then nothing is replaced.
     """
     if not path_exists(rows.sparkSession, f"{stage}/_SUCCESS"):
-        rows.write.mode("overwrite").partitionBy(partition).parquet(stage)
-    finish_replacement(rows.sparkSession, rows.schema, path, stage, partition)
+        evenly_by(rows, partition).write.mode("overwrite").partitionBy(partition).parquet(stage)
+    finish_replacement(rows.sparkSession, rows.schema, path, stage, partition, check)
+
 
+def finish_replacement(
+    spark: SparkSession, schema: StructType, path: str, stage: str, partition: str, check: Check | None = None
+) -> None:
+    """Write a complete stage over the partitions of `path`, then remove it. Does nothing when there is none.
 
-def finish_replacement(spark: SparkSession, schema: StructType, path: str, stage: str, partition: str) -> None:
-    """Write a complete stage over the partitions of `path`, then remove it. Does nothing when there is none."""
+    A stage that `check` objects to is removed, and the error raised. The stage lies in few files a partition already.
+    """
     if not path_exists(spark, f"{stage}/_SUCCESS"):
         return
     staged = spark.read.schema(schema).parquet(stage)
-    (
-        evenly_by(staged, partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    _file_system(spark, stage).delete(_hadoop_path(spark, stage), True)
+    if check is not None:
+        try:
+            check(staged)
+        except Exception:
+            remove(spark, stage)
+            raise
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    remove(spark, stage)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from cirrolake.schemas import SILVER
@@ -21,15 +23,17 @@ def rows_of(seen: Observation) -> int:
     return seen.get.get("rows", 0)
 
 
-def append_bronze(bronze: DataFrame, path: str) -> int:
+def append_bronze(bronze: DataFrame, path: str, batch: str | None = None) -> int:
     """Append one batch, partitioned by ingest date; returns its row count, taken while writing.
 
-    An empty batch writes nothing. The plan has no shuffle, so looking for a first row reads little.
+    Each batch has a folder of its own, so several feeds, streams and batch runs can append to one table. A batch that
+    is written again under its name replaces itself; without a name it is a new one. An empty batch writes nothing. The
+    plan has no shuffle, so looking for a first row reads little.
     """
     if bronze.isEmpty():
         return 0
     seen = Observation()
-    counted(bronze, seen).write.mode("append").partitionBy("ingest_date").parquet(path)
+    counted(bronze, seen).write.mode("overwrite").partitionBy("ingest_date").parquet(f"{path}/batch={batch or uuid.uuid4().hex}")
     return rows_of(seen)
 
 

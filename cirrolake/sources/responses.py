@@ -36,9 +36,29 @@ def _named(rows: DataFrame) -> DataFrame:
 
 
 def current_observations(responses: DataFrame) -> DataFrame:
-    """One row per element of a current-conditions response; none when `data` is absent."""
-    document = F.from_json("body", f"data array<{OBSERVATION_MAP}>")
-    return _named(responses.select("place_name", F.explode(document["data"]).alias("obs")))
+    """One row per object in the `data` of a current-conditions response; none when `data` is absent.
+
+    Elements that are no objects are left out one by one; `rejected_elements` lists them.
+    """
+    return _named(_objects(_elements(responses)))
+
+
+def _elements(responses: DataFrame) -> DataFrame:
+    document = F.from_json("body", "data array<variant>")
+    return responses.select("place_name", F.explode(document["data"]).alias("element"))
+
+
+def _objects(elements: DataFrame) -> DataFrame:
+    """The elements that are objects, as maps, with the other columns."""
+    others = [c for c in elements.columns if c != "element"]
+    maps = elements.select(*others, F.try_variant_get("element", "$", OBSERVATION_MAP).alias("obs"))
+    return maps.where(F.col("obs").isNotNull())
+
+
+def rejected_elements(responses: DataFrame) -> DataFrame:
+    """(place_name, element): elements of `data` that are no objects, as JSON text, of either feed."""
+    found = _elements(responses).where(F.try_variant_get("element", "$", OBSERVATION_MAP).isNull())
+    return found.select("place_name", F.coalesce(F.to_json("element"), F.lit("null")).alias("element"))
 
 
 def history_observations(responses: DataFrame) -> DataFrame:
@@ -47,8 +67,9 @@ def history_observations(responses: DataFrame) -> DataFrame:
     Bodies that are not JSON give no rows; `rejected_responses` lists them.
     """
     documents = responses.select("place_name", F.from_json("body", OBSERVATION_MAP).alias("doc"))
-    data = F.try_variant_get(F.try_element_at("doc", F.lit("data")), "$", f"array<{OBSERVATION_MAP}>")
-    rows = documents.select("place_name", jsonmap.without(F.col("doc"), "data").alias("meta"), F.explode(data).alias("obs"))
+    data = F.try_variant_get(F.try_element_at("doc", F.lit("data")), "$", "array<variant>")
+    found = documents.select("place_name", jsonmap.without(F.col("doc"), "data").alias("meta"), F.explode(data).alias("element"))
+    rows = _objects(found)
     merged = rows.select("place_name", jsonmap.overlay(F.col("meta"), F.col("obs")).alias("obs"))
     return harmonise_history(_named(merged))
 

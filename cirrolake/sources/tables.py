@@ -20,8 +20,10 @@ def read_bronze(spark: SparkSession, path: str, since: dt.date | None = None, me
     Its seven columns are declared, so no file needs to be opened to learn them. With `merge` all files are asked, and
     envelope columns that only some of them have are kept.
     """
-    reader = spark.read.option("mergeSchema", True) if merge else spark.read.schema(BRONZE)
-    bronze = reader.parquet(path)
+    if merge:
+        bronze = spark.read.option("mergeSchema", True).parquet(path).drop("batch")
+    else:
+        bronze = spark.read.schema(BRONZE).parquet(path).select(*BRONZE.names)
     return bronze if since is None else bronze.where(F.col("ingest_date") >= F.lit(since))
 
 

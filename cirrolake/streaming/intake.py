@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cirrolake.operators.bronze import current_to_bronze, history_to_bronze
+from cirrolake.sinks.tables import append_bronze
 from cirrolake.sources.responses import current_observations, history_observations, stream_responses
 
 FEEDS: dict[str, tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame, dt.datetime], DataFrame]]] = {
@@ -25,19 +27,25 @@ def start_intake(
     feed: str = "current",
     ingested_at: dt.datetime | None = None,
     max_files: int | None = None,
+    appended: list[int] | None = None,
 ) -> StreamingQuery:
-    """Take what has landed since the last call and stop. One ingest time per call; the file sink commits once.
+    """Take what has landed since the last call and stop. One ingest time per call; `appended` gets each batch's rows.
 
-    Give the sink a Bronze folder of its own: a batch append next to a stream's log would not be seen by readers.
+    A batch is named after the stream and its number, so one that runs again after a failure replaces itself, and any
+    number of feeds, streams and batch appends may share one Bronze table.
     """
     explode, wrap = FEEDS[feed]
     batch_time = ingested_at or dt.datetime.now(dt.UTC)
-    rows = wrap(explode(stream_responses(spark, landing, max_files=max_files)), batch_time)
+    stream = f"{feed}-{hashlib.md5(checkpoint.encode()).hexdigest()[:12]}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = append_bronze(wrap(explode(batch), batch_time), bronze, f"{stream}-{number}")
+        if appended is not None:
+            appended.append(rows)
+
     return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("ingest_date")
-        .option("path", bronze)
+        stream_responses(spark, landing, max_files=max_files)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -11,32 +11,39 @@ from pyspark.sql.streaming import StreamingQuery
 from cirrolake.operators.fact import fact_from_same_silver
 from cirrolake.operators.silver import add_features, deduplicate
 from cirrolake.schemas import OBSERVATION_COLUMNS
-from cirrolake.sinks.merge import path_exists, replace_partitions
+from cirrolake.sinks.merge import Check, path_exists, remove, replace_partitions
+from cirrolake.sinks.tables import evenly_by
 from cirrolake.sources.tables import FACT_PARTITION, SILVER_PARTITION, read_gold_table, read_silver
 
 
-def touched_dates(obs: DataFrame) -> list[dt.date]:
-    """The calendar dates of new observations, at most one per day of the calendar."""
-    days = obs.select(F.to_date("observed_at").alias("d")).where(F.col("d").isNotNull()).distinct()
-    return sorted(r["d"] for r in days.collect())
+def touched_dates(arrivals: DataFrame) -> list[dt.date]:
+    """The calendar dates of observations that lie in a folder for each date, at most one per day of the calendar."""
+    return sorted(r[SILVER_PARTITION] for r in arrivals.select(SILVER_PARTITION).distinct().collect())
 
 
-def merge_silver(new: DataFrame, silver_path: str, stage: str) -> list[dt.date]:
+def merge_silver(new: DataFrame, silver_path: str, stage: str, check: Check | None = None) -> list[dt.date]:
     """Fold observations into a date-partitioned Silver table; returns the dates written.
 
     The surviving row of a place and hour is a minimum in a total order. A minimum may be taken of the old minimum and
-    the new rows, so merging batch by batch ends where one pass over everything would.
+    the new rows, so merging batch by batch ends where one pass over everything would. New rows are computed once, into
+    a folder for each date beside the stage. `check` may object to the staged partitions; then none is replaced.
     """
     spark = new.sparkSession
     new = new.select(*OBSERVATION_COLUMNS).where(F.col("observed_at").isNotNull() & F.col("place").isNotNull())
-    dates = touched_dates(new)
+    arrived = f"{stage}-arrivals"
+    dated = new.withColumn(SILVER_PARTITION, F.to_date("observed_at"))
+    evenly_by(dated, SILVER_PARTITION).write.mode("overwrite").partitionBy(SILVER_PARTITION).parquet(arrived)
+    arrivals = spark.read.schema(dated.schema).parquet(arrived)
+    dates = touched_dates(arrivals)
     if not dates:
+        remove(spark, arrived)
         return dates
-    rows = new
+    rows = new = arrivals.select(*OBSERVATION_COLUMNS)
     if path_exists(spark, silver_path):
         rows = read_silver(spark, silver_path, dates).select(*OBSERVATION_COLUMNS).unionByName(new)
     merged = add_features(deduplicate(rows)).withColumn(SILVER_PARTITION, F.to_date("observed_at"))
-    replace_partitions(merged, silver_path, stage, SILVER_PARTITION)
+    replace_partitions(merged, silver_path, stage, SILVER_PARTITION, check)
+    remove(spark, arrived)
     return dates
 
 
@@ -59,12 +66,7 @@ def merging_sink(silver_path: str, stages: str) -> Callable[[DataFrame, int], No
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Read twice, for the dates and for the rows.
-        batch = batch.persist()
-        try:
-            merge_silver(batch, silver_path, f"{stages}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        merge_silver(batch, silver_path, f"{stages}/batch={batch_id}")
 
     return write
 

@@ -14,19 +14,22 @@ def first_arrivals(obs: DataFrame, delay: str = "2 hours") -> DataFrame:
 
     `delay` must exceed the longest gap between two arrivals for one hour.
     """
-    keyed = obs.where(F.col("place").isNotNull()).withColumn("hour", hour_bucket(F.col("observed_at")))
+    keyed = obs.where(F.col("place").isNotNull() & F.col("observed_at").isNotNull()).withColumn("hour", hour_bucket(F.col("observed_at")))
     return keyed.withWatermark("observed_at", delay).dropDuplicatesWithinWatermark(["place", "hour"])
 
 
 def hourly_weather(obs: DataFrame, delay: str = "2 hours", scale: int | None = None) -> DataFrame:
     """The fact's measures per place, weather and hour, each window given out once the watermark has passed it."""
     return (
-        obs.withWatermark("observed_at", delay)
+        obs.where(F.col("place").isNotNull() & F.col("observed_at").isNotNull())
+        .withWatermark("observed_at", delay)
         .groupBy(F.window("observed_at", "1 hour"), "place", "weather_code", "weather_description")
         .agg(
             mean("temperature", scale).alias("avg_temperature_celsius"),
+            mean("apparent_temperature", scale).alias("avg_feels_like_celsius"),
             mean("humidity", scale).alias("avg_humidity_percent"),
             F.max("wind_speed").alias("max_wind_speed_ms"),
+            mean("cloud_cover", scale).alias("avg_cloud_coverage_percent"),
             total("precipitation", scale).alias("total_precipitation_mmh"),
             F.count("id").alias("observation_count"),
         )
@@ -36,8 +39,10 @@ def hourly_weather(obs: DataFrame, delay: str = "2 hours", scale: int | None = N
             "weather_code",
             "weather_description",
             "avg_temperature_celsius",
+            "avg_feels_like_celsius",
             "avg_humidity_percent",
             "max_wind_speed_ms",
+            "avg_cloud_coverage_percent",
             "total_precipitation_mmh",
             "observation_count",
         )

@@ -13,6 +13,7 @@ from cirrolake.sources.responses import (
     geocoded,
     history_observations,
     read_responses,
+    rejected_elements,
     rejected_responses,
 )
 
@@ -51,6 +52,16 @@ def test_responses_without_rows(spark):
     assert [r.body for r in rejected_responses(responses(spark, *bodies)).collect()] == ["<html>"]
 
 
+def test_bad_elements_and_repeated_keys(spark):
+    mixed = '{"place_name": "A", "data": [{"ts": 1, "lat": 1.5, "lat": 2.5}, "text", null, [3], {"ts": 2}]}'
+    assert sorted(p["ts"] for p in payloads(current(spark, mixed))) == [1, 2]
+    assert sorted(p["ts"] for p in payloads(history(spark, mixed))) == [1, 2]
+    assert [p.get("lat") for p in payloads(current(spark, mixed)) if p["ts"] == 1] == [2.5]
+    assert len(rejected_elements(responses(spark, mixed)).collect()) == 3
+    twice = '{"place_name": "A", "lat": 1, "lat": 2, "data": [{"ts": 1, "temp": 3, "temp": 4}]}'
+    assert [(p["lat"], p["temp"]) for p in payloads(history(spark, twice))] == [(2, 4)]
+
+
 def test_history_metadata(spark):
     body = {"place_name": "Huế", "lat": 16.5, "lon": 107.5, "timezone": "Asia", "station": {"id": [1, 2.5]}, "data": [
         {"ts": 1, "temp": 20},

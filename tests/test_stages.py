@@ -14,6 +14,7 @@ from cirrolake.sinks import publish as pub
 from cirrolake.sinks import tables as sink
 from cirrolake.sinks.merge import path_exists, replace_partitions
 from cirrolake.sources import tables as src
+from cirrolake.streaming.merge import merge_silver
 
 
 def land(folder, *bodies):
@@ -199,15 +200,44 @@ def test_settings():
     assert s3_settings("https://x", "k", "s")["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true"
 
 
-def session(checkpoint_dir, master):
-    settings = {} if checkpoint_dir is None else {"spark.checkpoint.dir": checkpoint_dir}
-    return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master))
-
-
-def test_scratch_follows_the_session():
-    cluster = session("hdfs://shared/", "yarn")
+def test_scratch_follows_the_session(monkeypatch):
+    removed = []
+    monkeypatch.setattr("cirrolake.session.remove_at_exit", lambda _, folder: removed.append(folder))
+    cluster = SimpleNamespace(conf={"spark.checkpoint.dir": "hdfs://shared/", "spark.sql.warehouse.dir": "hdfs://w"})
     first, second = scratch_dir(cluster, "x"), scratch_dir(cluster, "x")
     assert first.startswith("hdfs://shared/cirrolake/x-") and first != second
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(session(None, "yarn"), "x")
-    assert os.path.isdir(scratch_dir(session(None, "local[4]"), "x"))
+    bare = SimpleNamespace(conf={"spark.sql.warehouse.dir": "hdfs://w"})
+    assert scratch_dir(bare, "x").startswith("hdfs://w/cirrolake/x-")
+    assert len(removed) == 3
+
+
+def test_a_failing_live_batch_changes_nothing(spark, path):
+    lake = stages.Lake(path("lake"))
+    land(path("one"), body("A", 1, 2))
+    stages.ingest_current(spark, path("one"), lake, NOON)
+    stages.update_live(spark, lake, NOON.date())
+    before = values(stages.read_live(spark, lake).fact_hourly_weather)
+    land(path("two"), body("A", 3, temp=99))
+    later = NOON + dt.timedelta(days=1)
+    stages.ingest_current(spark, path("two"), lake, later)
+    for _ in range(2):
+        with pytest.raises(QualityError, match="avg_temperature_celsius: 1"):
+            stages.update_live(spark, lake, later.date())
+        assert values(stages.read_live(spark, lake).fact_hourly_weather) == before
+
+
+def test_stage_files_do_not_multiply_by_tasks(spark, path):
+    rows = observations(spark, *[obs(id=str(i), observed_at=at(i % 24, day=1 + i % 20)) for i in range(480)])
+    merge_silver(rows.repartition(16), path("silver"), path("stage"))
+    files = sum(len([f for f in names if f.endswith(".parquet")]) for _, _, names in os.walk(path("silver")))
+    assert files <= 40
+
+
+def test_a_landed_file_is_taken_once(spark, path):
+    lake, landing = stages.Lake(path("lake")), path("landing")
+    land(landing, body("A", 1, 2))
+    stages.run_all(spark, landing, lake, NOON)
+    stages.run_all(spark, landing, lake, NOON + dt.timedelta(hours=1))
+    assert src.read_bronze(spark, lake.bronze).count() == 2
+    land(landing, body("B", 1))
+    assert stages.ingest_current(spark, landing, lake, NOON) == 1

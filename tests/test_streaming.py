@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from builders import NOON, at, obs, observations, silver, values
 from cirrolake.operators.fact import fact_from_same_silver
 from cirrolake.operators.silver import to_silver
+from cirrolake.sinks.tables import append_bronze
 from cirrolake.sources.tables import read_bronze, read_silver
 from cirrolake.streaming import intake, merge, windows
 from test_stages import body, land
@@ -36,6 +37,17 @@ def test_history_intake(spark, path):
     assert values(read_bronze(spark, path("bronze")), "source", "lat") == [("weatherbit_historical", 1.5)]
 
 
+def test_both_feeds_and_a_batch_share_one_bronze(spark, path):
+    land(path("now"), body("A", 1, 2))
+    land(path("past"), {"place_name": "A", "lat": 1.5, "lon": 2.5, "data": [{"ts": 5, "wind_gust_spd": 1}]})
+    for _ in range(2):
+        for feed, landing in (("current", "now"), ("history", "past")):
+            intake.start_intake(spark, path(landing), path("bronze"), path(feed), feed, NOON).awaitTermination()
+    assert read_bronze(spark, path("bronze")).count() == 3
+    append_bronze(read_bronze(spark, path("bronze")).limit(1), path("bronze"), "extra")
+    assert read_bronze(spark, path("bronze")).count() == 4
+
+
 def random_rows(n=300, seed=5):
     rng = random.Random(seed)
     return [

@@ -7,6 +7,7 @@ BATCH = "TIMESTAMP '2024-02-01 00:00:00'"
 FILTER_DATES = "DATE '2024-01-08' AND DATE '2024-01-14'"
 FILTER_PLACES = "('NATION_3', 'NATION_7', 'NATION_11')"
 
+# The observation columns of Silver, in its order.
 SILVER_COLUMNS = [
     ("id", "VARCHAR"), ("source", "VARCHAR"), ("ingested_at", "TIMESTAMP"), ("place", "VARCHAR"),
     ("api_city", "VARCHAR"), ("country", "VARCHAR"), ("latitude", "DOUBLE"), ("longitude", "DOUBLE"),
@@ -67,6 +68,7 @@ landed AS (
     'weatherbit_current' AS source, {BATCH} AS ingested_at)
   FROM obs
 )"""
+EARLY = "\nearly AS (SELECT * FROM landed WHERE observed_at < TIMESTAMP '2024-01-16 12:00:00')"
 
 
 def bins(value: str, edges: list[str], labels: list[str]) -> str:
@@ -77,6 +79,7 @@ def bins(value: str, edges: list[str], labels: list[str]) -> str:
     return f"CASE {cases} END"
 
 
+# Edges and labels of the two categories.
 WIND = bins(
     "wind_speed",
     ["-0.1", "0.2", "1.5", "3.3", "5.5", "7.9", "10.7", "13.8"],
@@ -138,7 +141,7 @@ def exact_sum(x: str, scale: int) -> str:
 
 
 def fact(source: str = "silver", scale: int | None = None) -> str:
-    """Each row looks its keys up; a missing match leaves null."""
+    """Each row looks its keys up; a missing match leaves null. The columns and their order are the table's (fixed values)."""
     avg = (lambda x: f"AVG({x})") if scale is None else (lambda x: exact_mean(x, scale))
     total = (lambda x: f"SUM({x})") if scale is None else (lambda x: exact_sum(x, scale))
     return f"""
@@ -151,10 +154,11 @@ keyed AS (
   FROM {source} s
 ),
 fact AS (
-  SELECT location_key, date_key, weather_key, observation_hour, COUNT(id) AS observation_count,
-    MAX(wind_speed) AS max_wind_speed_ms, {avg('temperature')} AS avg_temperature_celsius,
-    {avg('apparent_temperature')} AS avg_feels_like_celsius, {avg('humidity')} AS avg_humidity_percent,
-    {avg('cloud_cover')} AS avg_cloud_coverage_percent, {total('precipitation')} AS total_precipitation_mmh
+  SELECT location_key, date_key, weather_key, observation_hour,
+    {avg('temperature')} AS avg_temperature_celsius, {avg('apparent_temperature')} AS avg_feels_like_celsius,
+    {avg('humidity')} AS avg_humidity_percent, MAX(wind_speed) AS max_wind_speed_ms,
+    {avg('cloud_cover')} AS avg_cloud_coverage_percent, {total('precipitation')} AS total_precipitation_mmh,
+    COUNT(id) AS observation_count
   FROM keyed GROUP BY location_key, date_key, weather_key, observation_hour
 )"""
 
@@ -167,10 +171,8 @@ def gold(gaps: bool = False) -> str:
     return with_(obs(gaps), silver(), dims(), fact())
 
 
-LABELLED = """(SELECT * EXCLUDE (latitude, longitude, country, api_city) FROM fact
-  LEFT JOIN (SELECT * FROM dim_location) USING (location_key)
-  LEFT JOIN (SELECT date_key, full_date FROM dim_date) USING (date_key)
-  LEFT JOIN (SELECT weather_key, weather_description FROM dim_weather) USING (weather_key))"""
+LABELLED = """(SELECT * FROM fact LEFT JOIN dim_location USING (location_key) LEFT JOIN dim_date USING (date_key)
+  LEFT JOIN dim_weather USING (weather_key))"""
 
 
 def by_place(value: str, order: str) -> str:
@@ -178,14 +180,15 @@ def by_place(value: str, order: str) -> str:
 GROUP BY place ORDER BY value {order} NULLS LAST, place ASC NULLS LAST LIMIT 5"""
 
 
+# The titles of the detail table, in its order, are in this query.
 def detail(where: str, gaps: bool) -> str:
     return f"""{gold(gaps)}, newest AS (
   SELECT * FROM {LABELLED} WHERE {where}
   ORDER BY full_date DESC NULLS LAST, observation_hour DESC NULLS LAST, place NULLS LAST,
     weather_description NULLS LAST, location_key NULLS LAST, weather_key NULLS LAST LIMIT 200)
-SELECT full_date AS "Date", place AS "Location", observation_hour AS "Hour",
-  weather_description AS "Weather Description", observation_count AS "Observation Count",
-  ROUND(avg_temperature_celsius, 1) AS "Temperature (°C)" FROM newest"""
+SELECT full_date AS "Date", observation_hour AS "Hour", place AS "Location",
+  ROUND(avg_temperature_celsius, 1) AS "Temperature (°C)", weather_description AS "Weather Description",
+  observation_count AS "Observation Count" FROM newest"""
 
 
 def trend(hours: int, unit: str) -> str:
@@ -442,11 +445,16 @@ UNION ALL SELECT observation_id, source, station, ingest_date + 1 FROM (
     "stream_dedupe": f"{with_(obs())}SELECT DISTINCT place, date_trunc('hour', observed_at) AS hour FROM obs",
     "stream_hourly": f"""{with_(obs())}SELECT date_trunc('hour', observed_at) AS hour_start, place, weather_code,
   weather_description, {exact_mean('temperature', 3)} AS avg_temperature_celsius,
-  {exact_mean('humidity', 3)} AS avg_humidity_percent, MAX(wind_speed) AS max_wind_speed_ms,
+  {exact_mean('apparent_temperature', 3)} AS avg_feels_like_celsius, {exact_mean('humidity', 3)} AS avg_humidity_percent,
+  MAX(wind_speed) AS max_wind_speed_ms, {exact_mean('cloud_cover', 3)} AS avg_cloud_coverage_percent,
   {exact_sum('precipitation', 3)} AS total_precipitation_mmh, COUNT(id) AS observation_count FROM obs
 GROUP BY 1, 2, 3, 4
 HAVING date_trunc('hour', observed_at) + INTERVAL 1 HOUR <= (SELECT MAX(observed_at) FROM obs) - INTERVAL 2 HOUR""",
     "incremental_merge": f"{with_(obs(), silver())}SELECT * FROM silver",
     "incremental_run": f"{with_(obs(), LANDED, silver('landed'), dims(), fact())}{FACT_COLUMNS}",
     "incremental_fact": gold() + FACT_COLUMNS,
+    "run_twice": f"{with_(obs())}{CURRENT}",
+    "stream_two_feeds": f"""{with_(obs())}{CURRENT} UNION ALL {BACKFILLED}
+UNION ALL {BACKFILLED} WHERE CAST(observed_at AS DATE) BETWEEN {FILTER_DATES}""",
+    "live_gate": f"""{with_(obs(), LANDED, EARLY, silver('early'), dims(), fact())}{FACT_COLUMNS}""",
 }

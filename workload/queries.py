@@ -657,3 +657,45 @@ def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.read_fact(spark, f"{root}/fact")
 
 
+
+
+@query
+def run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two whole runs over one landing folder: each landed file is in Bronze once."""
+    landing, lake = _land(spark, proxy.responses(spark, sf_dir), "twice")
+    stages.run_all(spark, landing, lake, proxy.BATCH_TIME)
+    stages.run_all(spark, landing, lake, proxy.BATCH_TIME)
+    return lake_tables.read_bronze(spark, lake.bronze).select("observation_id", "source", "lat", "lon", "ingest_date")
+
+
+@query
+def stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds as streams and then a batch backfill, each of them twice, into one Bronze table."""
+    landing, lake = _land(spark, proxy.responses(spark, sf_dir), "feeds")
+    for feed in ("current", "history", "current", "history"):
+        started = intake.start_intake(
+            spark, landing, lake.bronze, f"{lake.root}/checkpoints/{feed}", feed, proxy.BATCH_TIME
+        )
+        started.awaitTermination()
+    for _ in range(2):
+        stages.backfill(spark, landing, lake, proxy.BATCH_TIME, *FILTER_DATES)
+    return lake_tables.read_bronze(spark, lake.bronze).select("observation_id", "source", "lat", "lon", "ingest_date")
+
+
+@query
+def live_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good batch, then one that is too hot for the gate: the live tables stay as they were."""
+    docs = proxy.responses(spark, sf_dir)
+    early = F.get_json_object("body", "$.data[0].ts").cast("bigint") < F.unix_timestamp(F.lit("2024-01-16 12:00:00"))
+    hot = docs.where(~early).withColumn("body", F.regexp_replace("body", '"temp":[^,]*', '"temp":99.0'))
+    root = scratch_dir(spark, "gate")
+    lake = stages.Lake(f"{root}/lake")
+    for n, part in enumerate((docs.where(early), hot)):
+        part.select("body").write.text(f"{root}/landing{n}")
+        ingested_at = proxy.BATCH_TIME + dt.timedelta(days=n)
+        stages.ingest_current(spark, f"{root}/landing{n}", lake, ingested_at)
+        try:
+            stages.update_live(spark, lake, since=ingested_at.date())
+        except quality.QualityError:
+            assert n == 1
+    return stages.read_live(spark, lake).fact_hourly_weather
