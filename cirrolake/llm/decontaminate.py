@@ -53,10 +53,11 @@ def words_of(text: Column) -> Column:
 def template(text: Column) -> Column:
     """The words of a plain text, as many as it has, with placeholders for names, numbers and units.
 
-    A name is a capitalised word that follows a word or comma on its line; a unit is a known one after a number.
+    A name is a capitalised word that follows a word or comma on its line, but not one in capitals throughout, so that
+    a shouted copy keeps its words; a unit is a known one after a number.
     """
     # The capital is tried first: few places have one, and only there the look back is made.
-    named = F.lower(F.regexp_replace(text, r"\p{Lu}(?<=[\p{L}\p{N},;:] .)\p{L}*", NAME))
+    named = F.lower(F.regexp_replace(text, r"\p{Lu}(?<=[\p{L}\p{N},;:] .)\p{Ll}\p{L}*", NAME))
     digits = F.regexp_replace(named, r"(?<![\p{L}\p{N}])\p{N}+(?![\p{L}\p{N}])", NUMBER)
     tokens = words_of(F.when(named.rlike(r"\p{N}"), digits).otherwise(named))
 
@@ -130,9 +131,9 @@ def contaminated(
     found = written(found.where(F.col("windows") >= F.col("total") * coverage), "found")
 
     hit = written(found.select("doc_id", "text_key").distinct(), "hit")
-    wide = keyed.join(sent_if_small(hit).withColumnRenamed("doc_id", "hit_id").withColumnRenamed("text_key", "hit_key"),
-                      F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key"))).drop("hit_id", "hit_key")
-    wide = wide.dropDuplicates(["doc_id", "text_key"])
+    hit = sent_if_small(hit).select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key"))
+    wide = keyed.join(hit, same).drop("hit_id", "hit_key").dropDuplicates(["doc_id", "text_key"])
     laid = wide.withColumnRenamed("plain", "doc_plain").alias("d").join(
         found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_key") == F.col("f.text_key"))
     )
