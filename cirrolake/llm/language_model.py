@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from cirrolake.llm.common import as_bytes, pieces, words, written
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 KEY_BITS = 48
 TOKENS_PER_SHARD = 1 << 21
 GROUP_BYTES = 128 << 20
@@ -36,7 +36,10 @@ BASE, BITS_PER_ENTRY, HASHES = 1.5, 8, 5
 PAIR_WEIGHT = 0.4
 END = b""
 
-BLOCK = "block bigint, doc_ids array<bigint>, learnt array<boolean>, lengths array<int>, words array<binary>, counts array<int>, ids binary"
+BLOCK = (
+    "block bigint, doc_ids array<bigint>, learnt array<boolean>, lengths array<int>, words array<binary>, counts array<int>, "
+    "ids binary"
+)
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -68,12 +71,24 @@ def blocks_of(docs: DataFrame) -> DataFrame:
                 row = next(rows, None)
             every = np.concatenate(ids)
             counts = np.bincount(every[np.repeat(learnt, lengths)], minlength=len(index)).astype(np.int32)
-            values = [part << 32 | next(numbers), doc_ids, learnt, lengths, list(index), counts, every.tobytes()]
+            values = [part << 32 | next(numbers), doc_ids, learnt, lengths, list(index), counts, _planes(every)]
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
     return docs.mapInArrow(run, BLOCK)
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte apart, compressed: small ones leave whole planes of zeros."""
+    width = numbers.dtype.itemsize
+    return zstandard.ZstdCompressor(level=1).compress(numbers.view(np.uint8).reshape(-1, width).T.tobytes())
+
+
+def _numbers(data: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).ravel()
+
+
 def _mixed(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
     """Keys of KEY_BITS bits from pairs of 64-bit hashes."""
     with np.errstate(over="ignore"):
@@ -87,7 +102,7 @@ class Block:
     """One block's tokens and the keys of its words and pairs."""
 
     def __init__(self, words: list[bytes], ids: bytes, learnt: list[bool], lengths: list[int]):
-        self.ids = np.frombuffer(ids, np.int32)
+        self.ids = _numbers(ids, np.int32)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         self.word_keys = _mixed(hashes, np.uint64(0))
         self.learnt, self.lengths = np.array(learnt, bool), np.array(lengths, np.int64)
@@ -96,39 +111,42 @@ class Block:
         self.pair_keys = _mixed(hashes[self.before], hashes[self.ids])
 
 
-def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys as differences, byte by byte apart, and counts, compressed."""
-    steps = np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(steps + counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
+def _packed(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Sorted keys as differences, and counts."""
+    return _planes(np.diff(keys, prepend=np.uint64(0))), _planes(counts.astype(np.uint32))
 
 
-def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    n = len(raw) // 12
-    steps = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view(np.uint64).ravel()
-    return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view(np.uint32).ravel()
+def _unpacked(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(_numbers(keys, np.uint64), dtype=np.uint64), _numbers(counts, np.uint32)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row after the other as Python values."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield batch.slice(row, 1).to_pylist()[0]
 
 
 def counted_keys(blocks: DataFrame, shard_bits: int) -> DataFrame:
-    """(shard, packed): of each block the keys of what may be learnt, with their counts, cut into shards."""
+    """(shard, keys, counts): of each block the keys of what may be learnt, with their counts, cut into shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                block = Block(r["words"], r["ids"], r["learnt"], r["lengths"])
-                mask = np.repeat(block.learnt, block.lengths)
-                pairs, pair_counts = np.unique(block.pair_keys[mask], return_counts=True)
-                counts = np.array(r["counts"], np.int64)
-                keys = np.concatenate((pairs, block.word_keys[counts > 0]))
-                counts = np.concatenate((pair_counts, counts[counts > 0]))
-                order = np.argsort(keys, kind="stable")
-                keys, counts = keys[order], counts[order]
-                shards, starts = np.unique(keys >> np.uint64(KEY_BITS - shard_bits), return_index=True)
-                ends = [*starts[1:].tolist(), len(keys)]
-                packed = [_packed(keys[a:b], counts[a:b]) for a, b in zip(starts.tolist(), ends)]
-                yield pa.RecordBatch.from_arrays([pa.array(shards.astype(np.int64)), pa.array(packed, pa.binary())], ["shard", "packed"])
-
-    return blocks.select("words", "ids", "learnt", "lengths", "counts").mapInArrow(run, "shard bigint, packed binary")
+        for r in _rows(batches):
+            block = Block(r["words"], r["ids"], r["learnt"], r["lengths"])
+            mask = np.repeat(block.learnt, block.lengths)
+            pairs, pair_counts = np.unique(block.pair_keys[mask], return_counts=True)
+            counts = np.array(r["counts"], np.int64)
+            keys = np.concatenate((pairs, block.word_keys[counts > 0]))
+            counts = np.concatenate((pair_counts, counts[counts > 0]))
+            order = np.argsort(keys, kind="stable")
+            keys, counts = keys[order], counts[order]
+            shards, starts = np.unique(keys >> np.uint64(KEY_BITS - shard_bits), return_index=True)
+            ends = [*starts[1:].tolist(), len(keys)]
+            packed = [_packed(keys[a:b], counts[a:b]) for a, b in zip(starts.tolist(), ends)]
+            columns = [pa.array([p[i] for p in packed], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(shards.astype(np.int64)), *columns], ["shard", "keys", "counts"])
+
+    return blocks.select("words", "ids", "learnt", "lengths", "counts").mapInArrow(run, "shard bigint, keys binary, counts binary")
 
 
 def _places(keys: np.ndarray, level: int | np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
@@ -148,7 +166,7 @@ def filled_shards(keys: DataFrame) -> DataFrame:
     """(shard, bits, filter): each shard's keys counted over all blocks and inserted into a filter of its own size."""
 
     def fill(table: pa.Table) -> pa.Table:
-        parts = [_unpacked(x) for x in table.column("packed").to_pylist()]
+        parts = [_unpacked(k, c) for k, c in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist())]
         found = np.concatenate([p[0] for p in parts])
         counts = np.concatenate([p[1] for p in parts]).astype(np.int64)
         order = np.argsort(found, kind="stable")
@@ -217,24 +235,56 @@ def filter_groups(shards: DataFrame, shard_bits: int, most: int = GROUP_BYTES) -
 EXPECTED = np.array([0.0] + [max(1.0, (BASE ** (j - 1) + BASE**j - 1) / 2) for j in range(1, 256)])
 
 
+LEVELS = "block bigint, word_levels binary, pair_levels binary"
+SCORED = "block bigint, doc_ids array<bigint>, learnt array<boolean>, lengths array<int>, ids binary, scores array<double>"
+
+
+def _levels(r: dict, keys: list[np.ndarray], group: CountFilter) -> list[np.ndarray]:
+    """The levels of words and pairs in this group's shards, and what earlier groups found."""
+    found = [group.levels(k) for k in keys]
+    for i, name in enumerate(("word_levels", "pair_levels")):
+        if r.get(name) is not None:
+            found[i] = np.maximum(found[i], _numbers(r[name], np.uint8))
+    return found
+
+
 def probed(blocks: DataFrame, group: CountFilter) -> DataFrame:
-    """`blocks` with the levels of their words and pairs, as far as `group` knows them."""
+    """(block, word_levels, pair_levels): `blocks` asked about all words and different pairs."""
     shared = blocks.sparkSession.sparkContext.broadcast(group)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                r = one.select(["words", "ids", "learnt", "lengths", "word_levels", "pair_levels"]).to_pylist()[0]
-                block = Block(r["words"], r["ids"], r["learnt"], r["lengths"])
-                found = [shared.value.levels(block.word_keys), shared.value.levels(np.unique(block.pair_keys))]
-                for i, name in enumerate(("word_levels", "pair_levels")):
-                    if r[name] is not None:
-                        found[i] = np.maximum(found[i], np.frombuffer(r[name], np.uint8))
-                    one = one.set_column(one.schema.get_field_index(name), name, pa.array([found[i].tobytes()], pa.binary()))
-                yield one
+        for r in _rows(batches):
+            block = Block(r["words"], r["ids"], r["learnt"], r["lengths"])
+            found = _levels(r, [block.word_keys, np.unique(block.pair_keys)], shared.value)
+            arrays = [pa.array([r["block"]], pa.int64()), *(pa.array([_planes(x)], pa.binary()) for x in found)]
+            yield pa.RecordBatch.from_arrays(arrays, ["block", "word_levels", "pair_levels"])
 
-    return blocks.mapInArrow(run, blocks.schema)
+    return blocks.mapInArrow(run, LEVELS)
+
+
+def model_scores(blocks: DataFrame, group: CountFilter, smoothing: float, weight: float) -> DataFrame:
+    """The blocks without their words, with the model's score of each text; `group` is the last of the filter's groups."""
+    shared = blocks.sparkSession.sparkContext.broadcast(group)
+    schema = pa.schema(
+        [
+            ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("learnt", pa.list_(pa.bool_())),
+            ("lengths", pa.list_(pa.int32())), ("ids", pa.binary()), ("scores", pa.list_(pa.float64())),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in _rows(batches):
+            block = Block(r["words"], r["ids"], r["learnt"], r["lengths"])
+            pairs, inverse = np.unique(block.pair_keys, return_inverse=True)
+            word, pair = (EXPECTED[x] for x in _levels(r, [block.word_keys, pairs], shared.value))
+            single, history = ((word + 0.5) / smoothing)[block.ids], word[block.before]
+            share = np.minimum(1.0, pair[inverse] / np.maximum(history, 1.0))
+            logs = np.log10(np.where(history > 0, (1 - weight) * single + weight * share, single))
+            scores = np.add.reduceat(logs, np.cumsum(block.lengths) - block.lengths)
+            values = [r["block"], r["doc_ids"], r["learnt"], r["lengths"], r["ids"], scores]
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
+
+    return blocks.mapInArrow(run, SCORED)
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
@@ -250,27 +300,27 @@ def counts_of_blocks(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     return found.groupBy("block").agg(F.collect_list("found").alias("exact"))
 
 
-def _scores(r: dict, total: float, smoothing: float, weight: float) -> list[np.ndarray]:
-    """n_tokens, n_known, base and model score of each text of a block."""
-    block = Block(r["words"], r["ids"], r["learnt"], r["lengths"])
-    starts = np.concatenate(([0], np.cumsum(block.lengths)[:-1]))
-    exact = np.zeros(len(r["words"]))
-    found = np.array([(x["pos"], x["count"]) for x in r["exact"] or []], np.int64).reshape(-1, 2)
-    exact[found[:, 0]] = found[:, 1]
-    logs = np.log10((exact + 0.5) / smoothing)
-    word = EXPECTED[np.frombuffer(r["word_levels"], np.uint8)]
-    _, inverse = np.unique(block.pair_keys, return_inverse=True)
-    pair = EXPECTED[np.frombuffer(r["pair_levels"], np.uint8)][inverse]
-    single = ((word + 0.5) / smoothing)[block.ids]
-    history = word[block.before]
-    share = np.minimum(1.0, pair / np.maximum(history, 1.0))
-    model = np.log10(np.where(history > 0, (1 - weight) * single + weight * share, single))
-    return [
-        block.lengths,
-        np.add.reduceat((exact > 0).astype(np.int64)[block.ids], starts),
-        np.add.reduceat(logs[block.ids], starts),
-        np.add.reduceat(model, starts),
-    ]
+def with_base(scored_blocks: DataFrame, total: int, smoothing: float, schema: str) -> DataFrame:
+    """A row for each text: its counts of tokens and its exact base score beside the model's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1)
+                ids = _numbers(one.column("ids")[0].as_py(), np.int32)
+                lengths = one.column("lengths").flatten().to_numpy().astype(np.int64)
+                starts = np.cumsum(lengths) - lengths
+                counts, exact = one.column("exact").flatten(), np.zeros(int(ids.max()) + 1)
+                exact[counts.field("pos").to_numpy()] = counts.field("count").to_numpy()
+                logs = np.log10((exact + 0.5) / smoothing)
+                arrays = [one.column("doc_ids").flatten(), one.column("learnt").flatten(), pa.array(lengths)]
+                arrays.append(pa.array(np.add.reduceat((exact > 0).astype(np.int64)[ids], starts)))
+                arrays.append(pa.array(np.full(len(lengths), total, np.int64)))
+                arrays += [pa.array(np.add.reduceat(logs[ids], starts)), one.column("scores").flatten()]
+                names = ["doc_id", "learnt", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return scored_blocks.mapInArrow(run, schema)
 
 
 def scored(docs: DataFrame, learn: Column, weight: float = PAIR_WEIGHT, group_bytes: int = GROUP_BYTES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -293,21 +343,22 @@ def scored(docs: DataFrame, learn: Column, weight: float = PAIR_WEIGHT, group_by
     shard_bits = max(1, math.ceil(math.log2(max(2, total / TOKENS_PER_SHARD))))
     shards = written(filled_shards(counted_keys(blocks, shard_bits)), "shards")
     exact = written(counts_of_blocks(blocks, counts), "exact")
-    empty = F.lit(None).cast("binary")
-    slim = blocks.drop("counts").withColumns({"word_levels": empty, "pair_levels": empty})
-    for number, group in enumerate(filter_groups(shards, shard_bits, group_bytes)):
-        slim = probed(slim if not number else written(slim, "levels"), group)
     smoothing = total + 0.5 * (different + 1)
+    slim, groups = blocks.drop("counts"), list_ahead(filter_groups(shards, shard_bits, group_bytes))
+    for group, last in groups:
+        if last:
+            found = model_scores(slim, group, smoothing, weight)
+        else:
+            levels = written(probed(slim, group), "levels")
+            slim = blocks.drop("counts").join(levels, "block")
+    schema = "doc_id bigint, learnt boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    return with_base(found.join(exact, "block", "left"), total, smoothing, schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                r = batch.slice(row, 1).to_pylist()[0]
-                n_tokens, n_known, base, score = _scores(r, total, smoothing, weight)
-                arrays = [pa.array(r["doc_ids"], pa.int64()), pa.array(r["learnt"], pa.bool_()), pa.array(n_tokens), pa.array(n_known)]
-                arrays += [pa.array(np.full(len(base), total, np.int64)), pa.array(base), pa.array(score)]
-                names = ["doc_id", "learnt", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-                yield pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = "doc_id bigint, learnt boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return slim.join(exact, "block", "left").mapInArrow(run, schema)
+def list_ahead(groups: Iterator[CountFilter]) -> Iterator[tuple[CountFilter, bool]]:
+    """Each group, and whether it is the last; one is held beside the current one."""
+    current = next(groups)
+    for following in groups:
+        yield current, False
+        current = following
+    yield current, True

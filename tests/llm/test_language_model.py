@@ -66,7 +66,7 @@ def test_filter_returns_levels():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 1 << lm.KEY_BITS, 20000).astype(np.uint64))
     counts = np.minimum(1 + rng.pareto(1, len(keys)), 1e6).astype(np.int64)
-    back = lm._unpacked(lm._packed(keys, counts))
+    back = lm._unpacked(*lm._packed(keys, counts))
     assert (back[0] == keys).all() and (back[1] == counts).all()
     levels = lm.levels_of(counts)
     bits = np.uint64(8 * (int(levels.sum()) * lm.BITS_PER_ENTRY // 8))
