@@ -66,14 +66,16 @@ def against_past_week(silver: DataFrame, days: int = 7, scale: int | None = None
         parts = parts.unionByName(whole, allowMissingColumns=True)
     day = Window.partitionBy("place", "_day").orderBy("_at")
     earlier = day.rangeBetween(Window.unboundedPreceding, -1)
-    later = day.rangeBetween(Window.currentRow, Window.unboundedFollowing)
     everywhere = day.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def past(column: str) -> Column:
         def of(kind: int, window) -> Column:
             return F.coalesce(F.sum(F.when(F.col("_kind") == kind, F.col(column))).over(window), F.lit(0))
 
-        return of(OWN, earlier) + of(MOVED, later) + of(WHOLE, everywhere)
+        # Moved rows from now on are all of them but those before: a frame that ends at the group's end would be
+        # summed anew for every row.
+        later = of(MOVED, everywhere) - of(MOVED, earlier)
+        return of(OWN, earlier) + later + of(WHOLE, everywhere)
 
     framed = parts.withColumns({"_sum": past("_v"), "_count": past("_n")}).where(F.col("_kind") == OWN)
     week = F.col("_sum").cast("double") / F.nullif(F.col("_count"), F.lit(0))
@@ -133,13 +135,32 @@ def coverage(silver: DataFrame, locations: DataFrame) -> DataFrame:
     )
 
 
+def missing_spans(silver: DataFrame, locations: DataFrame) -> DataFrame:
+    """(place, start, end, hours): the runs of hours that each listed place lacks, from the first to the last hour seen.
+
+    A run lies between two neighbouring hours of a place, the hour before the first and the one after the last among
+    them. Hours are made distinct first, so a place has at most one row for each hour of the calendar.
+    """
+    hour, step = hour_bucket(F.col("observed_at")), F.expr("INTERVAL 1 HOUR")
+    bounds = silver.agg(F.min(hour).alias("low"), F.max(hour).alias("high"))
+    edges = F.array(bounds.select("low").scalar() - step, bounds.select("high").scalar() + step)
+    listed = locations.select(F.col("name").alias("place")).distinct()
+    borders = listed.select("place", F.explode(edges).alias("hour"))
+    seen = silver.select("place", hour.alias("hour")).distinct().join(listed, "place", "left_semi")
+    after = F.lead("hour").over(Window.partitionBy("place").orderBy("hour"))
+    gaps = seen.unionByName(borders).withColumn("after", after).where(F.col("after") > F.col("hour") + step)
+    return gaps.select(
+        "place",
+        (F.col("hour") + step).alias("start"),
+        (F.col("after") - step).alias("end"),
+        ((F.unix_seconds("after") - F.unix_seconds("hour")) / 3600 - 1).cast("bigint").alias("hours"),
+    )
+
+
 def missing_hours(silver: DataFrame, locations: DataFrame) -> DataFrame:
-    """The hours that each listed place lacks between the first and the last hour seen."""
-    hour = hour_bucket(F.col("observed_at"))
-    bounds = silver.agg(F.sequence(F.min(hour), F.max(hour), F.expr("INTERVAL 1 HOUR")).alias("hours"))
-    grid = locations.select(F.col("name").alias("place"), F.explode(bounds.scalar()).alias("hour"))
-    seen = silver.select("place", hour.alias("hour")).distinct()
-    return grid.join(seen, ["place", "hour"], "left_anti")
+    """The same runs hour by hour."""
+    hours = F.sequence("start", "end", F.expr("INTERVAL 1 HOUR"))
+    return missing_spans(silver, locations).select("place", F.explode(hours).alias("hour"))
 
 
 def condition_frequency(gold: Gold) -> DataFrame:

@@ -76,14 +76,34 @@ def backfill(
     return append_bronze(bz.history_to_bronze(rows, ingested_at), lake.bronze, batch)
 
 
-def build_silver(spark: SparkSession, lake: Lake) -> str | None:
-    """Full refresh of Silver from Bronze; publishes and returns the new version, or None when there are no rows."""
+@dataclass(frozen=True)
+class SilverRun:
+    """What a refresh of Silver read and wrote; run_id is None when there was nothing to publish."""
+
+    run_id: str | None
+    rows_read: int
+    rows_written: int
+
+    @property
+    def rows_removed(self) -> int:
+        """Rows without a place or a readable time, and all but one of each place and hour."""
+        return self.rows_read - self.rows_written
+
+
+def refresh_silver(spark: SparkSession, lake: Lake) -> SilverRun:
+    """Full refresh of Silver from Bronze; publishes the new version unless it has no rows."""
+    bronze = read_bronze(spark, lake.bronze)
     run_id = pub.new_run_id()
-    rows = write_silver(bronze_to_silver(read_bronze(spark, lake.bronze)), pub.run_path(lake.silver, run_id))
-    if not rows:
-        return None
-    pub.publish_run(spark, lake.silver, run_id)
-    return run_id
+    written = write_silver(bronze_to_silver(bronze), pub.run_path(lake.silver, run_id))
+    if written:
+        pub.publish_run(spark, lake.silver, run_id)
+    # Counted from the files' footers.
+    return SilverRun(run_id if written else None, bronze.count(), written)
+
+
+def build_silver(spark: SparkSession, lake: Lake) -> str | None:
+    """The version that a refresh of Silver has published, or None when there are no rows."""
+    return refresh_silver(spark, lake).run_id
 
 
 def current_silver(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -75,6 +75,8 @@ def test_coverage(spark):
     s = silver(spark, *rows)
     assert values(questions.coverage(s, places)) == [("A", 4, 4, 1.0), ("B", 2, 4, 0.5), ("C", 0, 4, 0.0)]
     missing = questions.missing_hours(s, places)
+    spans = questions.missing_spans(s, places).select("place", F.hour("start"), F.hour("end"), "hours")
+    assert values(spans) == [("B", 1, 2, 2), ("C", 0, 3, 4)]
     assert values(missing.select("place", F.hour("hour"))) == [("B", 1), ("B", 2), ("C", 0), ("C", 1), ("C", 2), ("C", 3)]
 
 

@@ -244,13 +244,12 @@ def uv_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows before Silver, rows written, and their difference, which includes rows without a key."""
-    source = proxy.observations(spark, sf_dir)
-    written = sink.write_silver(sv.to_silver(source), f"{scratch_dir(spark, 'counts')}/silver")
-    return source.agg(F.count(F.lit(1)).alias("rows_read")).select(
-        "rows_read",
-        F.lit(written).cast("bigint").alias("rows_written"),
-        (F.col("rows_read") - written).alias("rows_removed"),
+    """What the refresh of Silver says of itself: rows read, rows written, and their difference."""
+    landing, lake = _land(spark, proxy.responses(spark, sf_dir), "counts")
+    stages.ingest_current(spark, landing, lake, proxy.BATCH_TIME)
+    run = stages.refresh_silver(spark, lake)
+    return spark.range(1).select(
+        *[F.lit(getattr(run, name)).cast("bigint").alias(name) for name in ("rows_read", "rows_written", "rows_removed")]
     )
 
 
