@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +61,17 @@ def remove_at_exit(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
 
 
+def importable_by_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver does, whatever their working folder.
+
+    It serves executors that see the driver's folder; others get the package with `--py-files`.
+    """
+    root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def s3_settings(endpoint: str, access_key: str, secret_key: str) -> dict[str, str]:
     """Settings to read and write an S3-compatible store with path-style addresses; TLS follows the endpoint's scheme."""
     return {
