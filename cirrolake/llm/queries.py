@@ -2,15 +2,33 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirrolake.llm import bpe, decontaminate, language_model, licenses, line_dedup, order_minhash, simhash, token_counts, toxicity, warc
 from cirrolake.llm.common import table, written
-from cirrolake.session import scratch_dir
+from cirrolake.session import importable_by_workers, scratch_dir
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+
 
+def query(function: Query) -> Query:
+    @functools.wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable_by_workers(spark)
+        return function(spark, sf_dir)
 
+    QUERIES[function.__name__] = run
+    return run
+
+
+@query
 def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_model.scored(docs, learning_part("doc_id", 1))
@@ -19,16 +37,19 @@ def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_key")
 
 
+@query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.without_repeats(docs).select("doc_id", "lines_removed", "removed", "text")
@@ -45,10 +66,12 @@ def byte_bpe(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
+@query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe(spark, table(spark, sf_dir, "documents")).drop("ids")
 
 
+@query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("uri"), F.col("html").alias("payload"))
     path = f"{scratch_dir(spark, 'archives')}/warc"
@@ -69,6 +92,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model | None:
     return toxicity.fit(docs, learnt)
 
 
+@query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.scored(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
     return found.select(
@@ -79,11 +103,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counter = token_counts.shared_counter(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return token_counts.counted(table(spark, sf_dir, "documents"), counter)
 
 
+@query
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = order_minhash.beside_next(table(spark, sf_dir, "documents"))
     return found.select(
@@ -97,22 +123,11 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op4_line_dedup": op4_line_dedup,
-    "op5_byte_bpe": op5_byte_bpe,
-    "op6_warc": op6_warc,
-    "op7_toxicity": op7_toxicity,
-    "op8_token_counts": op8_token_counts,
-    "op9_order_minhash": op9_order_minhash,
-    "op10_licenses": op10_licenses,
-    "op1_language_model": op1_language_model,
-    "op2_decontamination": op2_decontamination,
-    "op3_simhash": op3_simhash,
-}
 #: Ten hex digits of a SHA-1, from `at` on, as eight base32 digits.
 BASE32_PART = """list_aggregate(list_transform(range(8), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     (((('0x' || substr(h, {at}, 10))::BIGINT >> (35 - 5 * j)) & 31) + 1)::BIGINT, 1)), 'string_agg', '')"""
