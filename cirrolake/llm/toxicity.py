@@ -78,7 +78,7 @@ class Triples:
         weights = np.where((a > 0) & (b > 0) & (c > 0), self.decay ** (at[:, 2] - at[:, 0] + 1.0), 0.0)
         return (a * LETTERS + b) * LETTERS + c, weights
 
-    def grouped(self, words: list[str], chunk: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def grouped(self, words: list[str], chunk: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(places in `words`, codes, weights) by length; equal triples of a word are summed in one of their places."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         for length in range(3, LONGEST + 1):
@@ -98,7 +98,7 @@ class Triples:
     def project(self, words: list[str], table: np.ndarray) -> np.ndarray:
         """For each word its scaled triples times `table` (triples by columns)."""
         found = np.zeros((len(words), table.shape[1]), table.dtype)
-        for places, codes, weights in self.grouped(words, 2048 if table.shape[1] == 1 else 32):
+        for places, codes, weights in self.grouped(words, 512 if table.shape[1] == 1 else 32):
             norms = np.sqrt((weights**2).sum(axis=1))
             scaled = (weights / np.where(norms > 0, norms, 1.0)[:, None]).astype(table.dtype)
             if table.shape[1] == 1:
@@ -214,7 +214,10 @@ def train(rows: list[tuple[list[str], int]], landmarks: int = 224, decay: float
     table = triples.table(chosen)
     values, vectors = np.linalg.eigh(triples.project(chosen, table))
     keep = values > 1e-6
-    table = table @ (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
+    whitening = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
+    for low in range(0, len(table), 4096):  # in place: the table is the largest thing here
+        table[low : low + 4096, : keep.sum()] = table[low : low + 4096] @ whitening
+    table = table[:, : keep.sum()]
 
     vocabulary = sorted(set(clean) | set(toxic))
     number = {u: i for i, u in enumerate(vocabulary)}
@@ -262,8 +265,9 @@ class _Features:
 
 def _spread(triples: Triples, words: list[str], count: int) -> list[str]:
     """The first of `words`, leaving out those that are nearly a chosen one, then filled up in order."""
-    projected = triples.table(words[: 3 * count])
-    alike = projected.T @ projected
+    words = words[: 3 * count]
+    parts = [triples.project(words, triples.table(words[at : at + 64])) for at in range(0, len(words), 64)]
+    alike = np.concatenate(parts, axis=1)
     chosen: list[int] = []
     for i in range(alike.shape[0]):
         if len(chosen) < count and (not chosen or alike[i, chosen].max() < 0.9):
