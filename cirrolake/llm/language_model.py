@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from cirrolake.llm.common import as_bytes, pieces, words, written
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 KEY_BITS = 48
 TOKENS_PER_SHARD = 1 << 21
 GROUP_BYTES = 128 << 20
