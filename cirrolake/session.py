@@ -56,9 +56,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def remove_at_exit(spark: SparkSession, folder: str) -> None:
-    """Have the file system remove a folder when the session's JVM ends; until then DataFrames may still read it."""
+    """Make a folder and have the file system remove it when the session's JVM ends; until then it may still be read."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
 
 
 def importable_by_workers(spark: SparkSession) -> None:
