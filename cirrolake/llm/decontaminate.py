@@ -3,7 +3,8 @@
 A text is cut into words; numbers, names and units become typed placeholders, so a question with other values keeps its
 template. Windows of five template words are hashed and joined with those of the benchmark's items. Where a document
 holds enough of an item's windows, the two are laid side by side and the values in their placeholders are compared: a
-value of the item must stand for one value of the document throughout, else the likeness is by chance.
+value of the item must stand for one value of the document throughout, else the likeness is by chance. Items whose
+template has no window of enough literal words, and short ones, are searched by their own lower-cased words.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from cirrolake.llm.common import keyed_texts, text_key, written
 
 WINDOW, LITERALS, COVERAGE = 5, 3, 0.5
+#: An item of fewer words is only looked for as a whole document: one or two words occur by chance.
+LEAST_WORDS = 3
 #: Up to so many rows of two numbers (some 40 MB) are sent to every task; more are joined by shuffle.
 SENT_ROWS = 1_000_000
 
@@ -84,20 +87,48 @@ def window_hashes(tokens: Column, width: int) -> Column:
     )
 
 
+def exact_hashes(plain: Column, width: int) -> Column:
+    """A hash for each run of `width` words as they are, in small letters; below LEAST_WORDS only of texts of `width` words."""
+    return let(
+        words_of(F.lower(plain)),
+        lambda t: F.when(
+            (F.size(t) == width) if width < LEAST_WORDS else (F.size(t) >= width),
+            F.transform(F.sequence(F.lit(1), F.size(t) - width + 1), lambda i: F.xxhash64(F.lit(width), F.slice(t, i, width))),
+        ),
+    )
+
+
 def sent_if_small(df: DataFrame) -> DataFrame:
     """Of a written table: a broadcast hint where its rows, counted, are few."""
     return F.broadcast(df) if df.count() <= SENT_ROWS else df
 
 
 def item_windows(items: DataFrame, width: int, literals: int) -> DataFrame:
-    """(item_id, item, window, at, total): an item's different windows that hold enough literal words, and their number."""
-    cut = items.select("item_id", "item", template("plain").alias("template"))
-    cut = cut.select("item_id", "item", "template", F.posexplode(window_hashes(F.col("template"), width)).alias("at", "window"))
+    """(item_id, item, window, at, total, exact): an item's different windows and how many of them count as all.
+
+    Windows of its template that hold enough literal words have exact 0. Items without any, and those of LEAST_WORDS to
+    `width` - 1 words, have windows of their own words: exact is how many words, at most `width`.
+    """
+    cut = written(items.select("item_id", "item", "plain", template("plain").alias("template")), "templates")
+    each = cut.select("item_id", "item", "template", F.posexplode(window_hashes(F.col("template"), width)).alias("at", "window"))
     literal = F.size(F.filter(F.slice("template", F.col("at") + 1, width), lambda w: ~w.isin(NAME, NUMBER, UNIT)))
     needed = F.least(F.lit(literals), F.size("template"))
-    cut = cut.where(literal >= needed).groupBy("item_id", "item", "window").agg(F.min("at").alias("at"))
-    totals = cut.groupBy("item_id", "item").agg(F.count("*").alias("total"))
-    return cut.join(totals, ["item_id", "item"])
+    found = written(each.where(literal >= needed).groupBy("item_id", "item", "window").agg(F.min("at").alias("at")), "template-windows")
+    known = found.select("item_id", "item").distinct()
+    long_enough = F.size("template").between(LEAST_WORDS, width - 1)
+    own = cut.join(known.withColumn("known", F.lit(True)), ["item_id", "item"], "left").where(F.col("known").isNull() | long_enough)
+    own = own.select("item_id", "item", "plain", F.least(F.size("template"), F.lit(width)).alias("words"))
+    own = written(own.where("words > 0"), "own-words")
+    every = found.withColumn("exact", F.lit(0))
+    for n in sorted(row.words for row in own.select("words").distinct().collect()):
+        runs = own.where(F.col("words") == n).select("item_id", "item", F.posexplode(exact_hashes(F.col("plain"), n)).alias("at", "window"))
+        runs = runs.groupBy("item_id", "item", "window").agg(F.min("at").alias("at"))
+        every = every.unionByName(runs.withColumn("exact", F.lit(n)))
+    every = written(every, "windows")
+    # A short item is one window of its template or one of its words.
+    totals = every.groupBy("item_id", "item", "exact").agg(F.count("*").alias("total"))
+    totals = totals.groupBy("item_id", "item").agg(F.max("total").alias("total"))
+    return every.join(totals, ["item_id", "item"])
 
 
 def contaminated(
@@ -115,18 +146,27 @@ def contaminated(
     windows of the item's total are in the document, at least the share `coverage`; changed of the slots laid side by
     side have another value. kind is verbatim (none changed) or re-parameterised. A document that gives one value of an
     item two values is left out. Rows equal in doc_id and text are one document, text_key the hash of its text. A text
-    of fewer than `width` words is one window. Empty and null texts hold nothing; items without id or words are in no
-    document. Two texts of one item_id are two items.
+    of fewer than `width` words is one window. An item without a window of LITERALS literal words is held where its own
+    words are, by windows of `width` of them; one of LEAST_WORDS to `width` - 1 words where all are side by side, a shorter
+    one where it is the whole document. Empty and null texts hold nothing; items without id or words are in no document.
+    Two texts of one item_id are two items.
     """
     items = keyed_texts(benchmark, item_id, item_text).where("doc_id is not null").distinct()
     items = written(items.select(F.col("doc_id").alias("item_id"), text_key().alias("item"), plain(F.col("text")).alias("plain")), "items")
     wanted = written(item_windows(items, width, LITERALS), "item-windows")
     keyed = keyed_texts(docs, doc_id, text).select("doc_id", text_key().alias("text_key"), plain(F.col("text")).alias("plain"))
     windows = keyed.select("doc_id", "text_key", F.posexplode(window_hashes(template(F.col("plain")), width)).alias("pos", "window"))
-    found = windows.join(sent_if_small(wanted), "window")
-    found = found.groupBy("doc_id", "text_key", "item_id", "item", "total", "window").agg(F.min(F.expr("pos - at")).alias("shift"))
+    windows = windows.withColumn("exact", F.lit(0))
+    # At most `width` lengths, and none where each item has a template to search by.
+    for n in sorted(r.exact for r in wanted.where("exact > 0").select("exact").distinct().collect()):
+        runs = keyed.select("doc_id", "text_key", F.posexplode(exact_hashes(F.col("plain"), n)).alias("pos", "window"))
+        windows = windows.unionByName(runs.withColumn("exact", F.lit(n)))
+    found = windows.join(sent_if_small(wanted), ["window", "exact"])
+    found = found.groupBy("doc_id", "text_key", "item_id", "item", "total", "exact", "window").agg(F.min(F.expr("pos - at")).alias("shift"))
     found = found.groupBy("doc_id", "text_key", "item_id", "item", "total").agg(
-        F.count("*").alias("windows"), F.mode("shift", deterministic=True).alias("shift")
+        F.least(F.count("*"), F.col("total")).alias("windows"),
+        F.mode("shift", deterministic=True).alias("shift"),
+        (F.max("exact") > 0).alias("exact"),
     )
     found = written(found.where(F.col("windows") >= F.col("total") * coverage), "found")
 
@@ -138,7 +178,7 @@ def contaminated(
         found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_key") == F.col("f.text_key"))
     )
     laid = laid.join(items, ["item_id", "item"]).select(
-        "f.doc_id", "f.text_key", "item_id", "windows", "total", "shift",
+        "f.doc_id", "f.text_key", "item_id", "windows", "total", "shift", "exact",
         template(F.col("doc_plain")).alias("td"), words_of(F.col("doc_plain")).alias("rd"),
         template(F.col("plain")).alias("ti"), words_of(F.col("plain")).alias("ri"),
     )
@@ -151,11 +191,12 @@ def contaminated(
     )
     value = lambda words, p: F.lower(F.get(words, p))
     pairs = F.transform(inside, lambda p: F.struct(value("ri", p).alias("item"), value("rd", p + F.col("shift")).alias("doc")))
-    laid = laid.select("doc_id", "text_key", "item_id", "windows", "total", pairs.alias("pairs"))
+    laid = laid.select("doc_id", "text_key", "item_id", "windows", "total", "exact", pairs.alias("pairs"))
     once = F.array_distinct("pairs")
     consistent = F.size(once) == F.size(F.array_distinct(F.transform("pairs", lambda x: x["item"])))
     changed = F.size(F.filter("pairs", lambda x: x["item"] != x["doc"]))
-    return laid.where(consistent).select(
+    # Words as they are need no values to agree.
+    return laid.where(F.col("exact") | consistent).select(
         "doc_id", "text_key", "item_id", "windows", "total",
         (F.col("windows") / F.col("total")).alias("coverage"),
         F.size("pairs").alias("slots"),

@@ -77,3 +77,15 @@ def test_query_over_the_given_table(spark):
         counts = collections.Counter(i for run in {tuple(words[j : j + 5]) for j in range(len(words) - 4)} for i in windows.get(run, ()))
         expected |= {(r.doc_id, i) for i, n in counts.items() if n >= totals[i] / 2}
     assert {(r.doc_id, r.item_id) for r in op2_decontamination(spark, sf).collect()} == expected and expected
+
+
+def test_items_without_a_template_window(spark):
+    sums, names, short = "What is 12 + 30 + 7 + 4?", "Then Anna, Boris, Clara, Dora, Emil met.", "seven plus eight"
+    docs = [
+        (1, sums), (2, f"Some words before. {sums} And some after."), (3, "What is 13 + 31 + 8 + 5?"), (4, f"So {names.upper()} Again."),
+        (5, f"Say how much {short} is."), (6, "seven plus nine"), (7, "12 km"), (8, "It is 12 km from here."), (9, "Nothing of the kind."),
+        (10, "A red car\nstops here"),
+    ]
+    got, clean = found(spark, docs, [(70, sums), (71, names), (72, short), (73, "12 km"), (74, "a red car stops")])
+    assert set(got) == {(1, 70), (2, 70), (4, 71), (5, 72), (7, 73), (10, 74)}
+    assert set(got.values()) == {("verbatim", 0)} and clean == [3, 6, 8, 9]
