@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cirrolake.llm import bpe, decontaminate, language_model, licenses, line_dedup, order_minhash, simhash, token_counts, toxicity, warc
+from cirrolake.llm import (
+    bpe, decontaminate, language_model, licenses, line_dedup, order_minhash, simhash, substring_dedup, token_counts, toxicity, warc,
+)
 from cirrolake.llm.common import table, written
 from cirrolake.session import importable_by_workers, scratch_dir
 
@@ -128,6 +130,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 #: Ten hex digits of a SHA-1, from `at` on, as eight base32 digits.
 BASE32_PART = """list_aggregate(list_transform(range(8), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     (((('0x' || substr(h, {at}, 10))::BIGINT >> (35 - 5 * j)) & 31) + 1)::BIGINT, 1)), 'string_agg', '')"""
@@ -147,4 +155,28 @@ ORACLE: dict[str, str] = {
             CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
         FROM firsts""",
+    "op11_substring_dedup": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), words AS (
+            SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i, len(w) AS n FROM docs
+        ), windows AS (
+            SELECT r, i, md5(string_agg(word, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)) AS h
+            FROM words QUALIFY i + 34 <= n
+        ), repeated AS (
+            SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY h) > 1
+        ), judged AS (
+            SELECT words.r, words.i, word,
+                coalesce(max(repeated.i) OVER (PARTITION BY words.r ORDER BY words.i) >= words.i - 34, false) AS gone
+            FROM words LEFT JOIN repeated USING (r, i)
+        ), kept AS (
+            SELECT r, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+                string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text
+            FROM judged GROUP BY r
+        )
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+            sha256(coalesce(text, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (r)""",
 }
