@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirrolake.llm import (
-    bpe, decontaminate, language_model, licenses, line_dedup, order_minhash, simhash, substring_dedup, token_counts, toxicity, warc,
+    bpe, decontaminate, language_model, licenses, line_dedup, merkle, order_minhash, simhash, substring_dedup, token_counts, toxicity, warc, whitening,
 )
 from cirrolake.llm.common import table, written
 from cirrolake.session import importable_by_workers, scratch_dir
@@ -136,10 +136,45 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    found = merkle.proofs(table(spark, sf_dir, "documents"), tampered)
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join("steps.digest", ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 #: Ten hex digits of a SHA-1, from `at` on, as eight base32 digits.
 BASE32_PART = """list_aggregate(list_transform(range(8), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     (((('0x' || substr(h, {at}, 10))::BIGINT >> (35 - 5 * j)) & 31) + 1)::BIGINT, 1)), 'string_agg', '')"""
 
+
+
+def merkle_leaf(n_chars: str) -> str:
+    """A row's hash input."""
+    values = [f"({v})::VARCHAR" for v in ("doc_id", "source", "lang", n_chars, "text")]
+    return " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values)
+
+
+#: CRC-32 of the decimal doc_id in eight hex digits, bit by bit.
+CRC32 = """printf('%08x', xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(strlen(doc_id::VARCHAR)), lambda j: ord(substr(doc_id::VARCHAR, j + 1, 1))::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))))"""
+
 ORACLE: dict[str, str] = {
     "op6_warc": f"""
         WITH hashed AS (
@@ -179,4 +214,43 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
             sha256(coalesce(text, '')) AS kept_sha256
         FROM docs LEFT JOIN kept USING (r)""",
+    "op13_merkle": f"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, lang, row_number() OVER () AS r, sha256({merkle_leaf("n_chars")}) AS leaf,
+                CASE WHEN ('0x' || crc)::BIGINT % 7 = 0 THEN sha256({merkle_leaf("(n_chars + 1)")}) ELSE sha256({merkle_leaf("n_chars")}) END AS altered
+            FROM (SELECT *, {CRC32} AS crc FROM documents)
+        ), leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS t
+            FROM docs
+        ), nodes AS (
+            SELECT t, 0 AS level, i, n, leaf AS h FROM leaves
+            UNION ALL
+            SELECT t, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+            FROM nodes WHERE n > 1 GROUP BY t, level, i // 2, n
+        ), tops AS (
+            SELECT 0 AS level, t - 1 AS i, count(*) OVER () AS n, h FROM nodes WHERE n = 1
+            UNION ALL
+            SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+            FROM tops WHERE n > 1 GROUP BY level, i // 2, n
+        ), low AS (
+            SELECT r, t, 0 AS level, i, n, altered AS d, '' AS proof FROM leaves
+            UNION ALL
+            SELECT r, low.t, low.level + 1, low.i // 2, (low.n + 1) // 2,
+                sha256(CASE WHEN low.i % 2 = 1 THEN s.h || d ELSE d || coalesce(s.h, '') END), proof || coalesce(s.h, '')
+            FROM low LEFT JOIN nodes AS s ON s.t = low.t AND s.level = low.level AND s.i = xor(low.i, 1)
+            WHERE low.n > 1
+        ), high AS (
+            SELECT r, 0 AS level, t - 1 AS i, (SELECT max(t) FROM leaves) AS n, d, proof FROM low WHERE n = 1
+            UNION ALL
+            SELECT r, high.level + 1, high.i // 2, (high.n + 1) // 2,
+                sha256(CASE WHEN high.i % 2 = 1 THEN s.h || d ELSE d || coalesce(s.h, '') END), proof || coalesce(s.h, '')
+            FROM high LEFT JOIN tops AS s ON s.level = high.level AND s.i = xor(high.i, 1)
+            WHERE high.n > 1
+        )
+        SELECT doc_id, leaf, subroots.h AS subroot, roots.h AS root, sha256(proof) AS proof_sha256, d AS folded_root,
+            d = roots.h AS verified
+        FROM leaves JOIN high ON high.r = leaves.r AND high.n = 1
+            JOIN nodes AS subroots ON subroots.t = leaves.t AND subroots.n = 1
+            CROSS JOIN (SELECT h FROM tops WHERE n = 1) AS roots""",
 }

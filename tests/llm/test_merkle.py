@@ -1,0 +1,146 @@
+"""The Merkle manifest against trees built level by level in plain Python."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from cirrolake.llm import merkle
+
+SCHEMA = "doc_id bigint, source string, lang string, n_chars bigint, text string, tree int, id string, digest string"
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(doc_id, source, lang, n_chars, text):
+    return h(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (doc_id, source, lang, n_chars, text)])
+
+
+def levels_of(digests):
+    levels = [digests]
+    while len(levels[-1]) > 1:
+        levels.append([h(*levels[-1][i : i + 2]) for i in range(0, len(levels[-1]), 2)])
+    return levels
+
+
+def way(levels, i):
+    steps = []
+    for level in levels[:-1]:
+        steps.append(("none", None) if i ^ 1 >= len(level) else ("left" if i & 1 else "right", level[i ^ 1]))
+        i >>= 1
+    return steps
+
+
+def fold(digest, steps):
+    for side, other in steps:
+        digest = h(*{"left": (other, digest), "right": (digest, other), "none": (digest,)}[side])
+    return digest
+
+
+def tampers(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 0
+
+
+def plain(rows):
+    """Sorted (doc_id, lang, leaf, subroot, root, folded root, steps)."""
+    by_lang = {}
+    for row in rows:
+        by_lang.setdefault(row[2], []).append((row[0], leaf(*row), row))
+    order = sorted(by_lang, key=lambda lang: (lang is not None, (lang or "").encode()))
+    trees = {}
+    for lang in order:
+        by_lang[lang].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        trees[lang] = levels_of([x[1] for x in by_lang[lang]])
+    top = levels_of([trees[lang][-1][0] for lang in order])
+    found = []
+    for t, lang in enumerate(order):
+        for i, (doc_id, digest, row) in enumerate(by_lang[lang]):
+            steps = way(trees[lang], i) + way(top, t)
+            n_chars = row[3] + 1 if tampers(doc_id) and row[3] is not None else row[3]
+            end = fold(leaf(*row[:3], n_chars, row[4]), steps)
+            found.append((doc_id, lang, digest, trees[lang][-1][0], top[-1][0], end, steps))
+    return sorted(found, key=repr)
+
+
+def check(spark, rows, parts=3):
+    df = spark.createDataFrame([(*r, 1, "i", "d") for r in rows], SCHEMA).repartition(parts)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    found = merkle.proofs(df, tampered).collect()
+    got = [(r.doc_id, r.lang, r.leaf, r.subroot, r.root, r.folded_root, [tuple(s) for s in r.steps]) for r in found]
+    assert sorted(got, key=repr) == plain(rows)
+    return found
+
+
+def random_rows(n, seed=1, langs=("de", "en", "fr", None, "ß", "z")):
+    rng = random.Random(seed)
+    return [(i, rng.choice(("a", "é", None)), rng.choice(langs), rng.choice((5, 9, None)), rng.choice(("x y", "", None, "漢"))) for i in range(n)]
+
+
+@pytest.mark.parametrize("height", [1, 12])
+def test_like_trees_built_level_by_level(spark, monkeypatch, height):
+    """Low builders give many runs and several rounds above them."""
+    monkeypatch.setattr(merkle, "HEIGHT", height)
+    found = check(spark, random_rows(90))
+    assert {r.folded_root == r.root for r in found} == {True, False}
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_one_language_of_any_size(spark, monkeypatch, n):
+    monkeypatch.setattr(merkle, "HEIGHT", 1)
+    found = check(spark, random_rows(n, langs=("en",)), parts=1)
+    assert {r.root == r.subroot for r in found} == {True}
+
+
+def test_nulls_ties_and_repeated_rows(spark):
+    rows = [(None, None, None, None, None)] * 2 + [(7, "s", "en", 1, "t")] * 3 + [(7, "s", "en", 2, "t"), (-3, "s", "en", 2, "t"), (7, "s", "", 2, "t")]
+    check(spark, rows)
+
+
+def test_empty_table(spark):
+    assert merkle.proofs(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_long_text(spark):
+    check(spark, [(1, "s", "en", 3_000_000, "ab ü " * 600_000), (2, "s", "en", 1, "b")])
+
+
+def test_tampering_is_found_and_nothing_else(spark):
+    rows = [(i, "s", "en", None if i % 2 else i, "t") for i in range(60)]
+    for r in check(spark, rows):
+        assert (r.folded_root == r.root) == (r.doc_id % 2 == 1 or not tampers(r.doc_id))
+
+
+def postorder(n):
+    """Nodes (level, index) in the order of completion, from the definition."""
+    levels = [[(0, i) for i in range(n)]]
+    while len(levels[-1]) > 1:
+        levels.append([(len(levels), i) for i in range((len(levels[-1]) + 1) // 2)])
+
+    def below(level, index):
+        if level:
+            for child in (2 * index, 2 * index + 1):
+                if child < len(levels[level - 1]):
+                    yield from below(level - 1, child)
+        yield level, index
+
+    return list(below(len(levels) - 1, 0))
+
+
+def test_positions_follow_from_sizes():
+    for n in range(1, 70):
+        order = postorder(n)
+        assert [merkle.position(level, index, n) for level, index in order] == list(range(len(order)))
+
+
+def test_the_log_has_every_node_once(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "HEIGHT", 2)
+    rows = random_rows(50, langs=("en",))
+    ranked, _ = merkle.trees_of(merkle.leaves(spark.createDataFrame([(*r, 1, "", "") for r in rows], SCHEMA)))
+    runs = merkle.runs_of(ranked)
+    log = sorted(map(tuple, merkle.log_of(runs, merkle.nodes_above(runs)).collect()))
+    levels = levels_of([leaf(*r) for r in rows])
+    assert log == [(0, at, levels[level][index]) for at, (level, index) in enumerate(postorder(50))]
