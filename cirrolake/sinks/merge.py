@@ -26,6 +26,14 @@ def remove(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_hadoop_path(spark, path), True)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where there is no such folder."""
+    if not path_exists(spark, path):
+        return []
+    found = _file_system(spark, path).listStatus(_hadoop_path(spark, path))
+    return [f.getPath().getName() for f in found if f.isDirectory()]
+
+
 Check = Callable[[DataFrame], None]
 
 

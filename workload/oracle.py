@@ -442,14 +442,14 @@ UNION ALL SELECT observation_id, source, station, ingest_date + 1 FROM (
     "backfill_range": f"{with_(obs())}{BACKFILLED} WHERE CAST(observed_at AS DATE) BETWEEN {FILTER_DATES}",
     "publish_swap": gold() + FACT_COLUMNS,
     "stream_intake": f"{with_(obs())}{CURRENT}",
-    "stream_dedupe": f"{with_(obs())}SELECT DISTINCT place, date_trunc('hour', observed_at) AS hour FROM obs",
+    "stream_dedupe": f"""{with_(obs(), silver())}SELECT * EXCLUDE (observation_hour, day_of_week, month, wind_category, uv_category)
+FROM silver""",
     "stream_hourly": f"""{with_(obs())}SELECT date_trunc('hour', observed_at) AS hour_start, place, weather_code,
   weather_description, {exact_mean('temperature', 3)} AS avg_temperature_celsius,
   {exact_mean('apparent_temperature', 3)} AS avg_feels_like_celsius, {exact_mean('humidity', 3)} AS avg_humidity_percent,
   MAX(wind_speed) AS max_wind_speed_ms, {exact_mean('cloud_cover', 3)} AS avg_cloud_coverage_percent,
   {exact_sum('precipitation', 3)} AS total_precipitation_mmh, COUNT(id) AS observation_count FROM obs
-GROUP BY 1, 2, 3, 4
-HAVING date_trunc('hour', observed_at) + INTERVAL 1 HOUR <= (SELECT MAX(observed_at) FROM obs) - INTERVAL 2 HOUR""",
+GROUP BY 1, 2, 3, 4""",
     "incremental_merge": f"{with_(obs(), silver())}SELECT * FROM silver",
     "incremental_run": f"{with_(obs(), LANDED, silver('landed'), dims(), fact())}{FACT_COLUMNS}",
     "incremental_fact": gold() + FACT_COLUMNS,

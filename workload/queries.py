@@ -22,7 +22,7 @@ from cirrolake.sinks import tables as sink
 from cirrolake.sources import locations as place_files
 from cirrolake.sources import responses as resp
 from cirrolake.sources import tables as lake_tables
-from cirrolake.streaming import intake, merge, windows
+from cirrolake.streaming import folding, intake, merge, windows
 from workload import proxy
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -590,41 +590,37 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = proxy.table(spark, sf_dir, "events")
-    # A stream's path must be a folder or a pattern; this pattern matches the table whether it is a file or a folder.
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/[e]vents.parquet")
-    return proxy.as_observations(stream)
+def _in_batches(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Observations as a stream of four batches, from landed files of no order: most rows are late."""
+    obs = proxy.observations(spark, sf_dir)
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    obs.repartition(files).write.parquet(f"{root}/landed")
+    return spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", math.ceil(files / 4)).parquet(f"{root}/landed")
 
 
 @query
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_dir(spark, "arrivals")
-    arrivals = windows.first_arrivals(_event_stream(spark, sf_dir)).select("place", "hour")
-    windows.start_append(arrivals, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    """The earliest observation of each place and hour; the table is closed after the third batch, the fourth is late."""
+    root, state = scratch_dir(spark, "first"), windows.first_rows()
+    stream = _in_batches(spark, sf_dir, root)
+    folding.start_folding(stream, state, f"{root}/state", f"{root}/checkpoint", close_every=3).awaitTermination()
+    return folding.current(state, spark, f"{root}/state")
 
 
 @query
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_dir(spark, "hourly")
-    hourly = windows.hourly_weather(_event_stream(spark, sf_dir), scale=SCALE)
-    windows.start_append(hourly, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    """All hours with all their rows; closed after two batches, and the other two fall into closed hours."""
+    root, state = scratch_dir(spark, "hourly"), windows.hourly_measures(SCALE)
+    stream = _in_batches(spark, sf_dir, root)
+    folding.start_folding(stream, state, f"{root}/state", f"{root}/checkpoint", close_every=2).awaitTermination()
+    return windows.hourly_result(folding.current(state, spark, f"{root}/state"))
 
 
 @query
 def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations landed in files of no order and merged in four batches."""
     root = scratch_dir(spark, "merge")
-    obs = proxy.observations(spark, sf_dir)
-    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    obs.repartition(files).write.parquet(f"{root}/landed")
-    stream = (
-        spark.readStream.schema(obs.schema)
-        .option("maxFilesPerTrigger", math.ceil(files / 4))
-        .parquet(f"{root}/landed")
-    )
+    stream = _in_batches(spark, sf_dir, root)
     merge.start_merge(stream, f"{root}/silver", f"{root}/checkpoint").awaitTermination()
     return lake_tables.read_silver(spark, f"{root}/silver")
 
