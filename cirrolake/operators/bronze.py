@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from cirrolake.functions import jsonmap
 from cirrolake.functions.keys import with_observation_id
-from cirrolake.schemas import BRONZE
 
 # The label in the table and the label inside the id, per feed.
 CURRENT_SOURCE, CURRENT_ID_SOURCE = "weatherbit_current", "weatherbit"
@@ -18,25 +17,34 @@ HISTORY_SOURCE, HISTORY_ID_SOURCE = "weatherbit_historical", "weatherbit_histori
 def envelope(
     observations: DataFrame, source: str, id_source: str, ingested_at: dt.datetime, obs: str = "obs"
 ) -> DataFrame:
-    """Bronze rows from maps of JSON values; the payload keeps every key, nulls too. One ingest time per batch."""
+    """Bronze rows from maps of JSON values; the payload keeps every key, nulls too. One ingest time per batch.
+
+    Classified rows keep their `reason`. Rejected ones have what was rejected as payload, no id, and no ingest date, by
+    which Bronze stores them apart.
+    """
     m = F.col(obs)
     batch = F.lit(ingested_at)
+    payload = F.to_json(m, {"ignoreNullFields": "false"})
+    tagged = "reason" in observations.columns
     parts = observations.select(
-        F.to_json(m, {"ignoreNullFields": "false"}).alias("raw_payload"),
+        (F.coalesce("rejected", payload) if tagged else payload).alias("raw_payload"),
         jsonmap.number(m, "lat").alias("lat"),
         jsonmap.number(m, "lon").alias("lon"),
         jsonmap.text(m, "ts").alias("ts"),
+        *(["reason"] if tagged else []),
     )
     named = with_observation_id(parts, id_source)
+    accepted = F.col("reason").isNull() if tagged else F.lit(True)
     return named.select(
-        "observation_id",
+        F.when(accepted, F.col("observation_id")).alias("observation_id"),
         F.lit(source).alias("source"),
         "raw_payload",
         "lat",
         "lon",
         batch.cast("timestamp").alias("_ingested_at"),
-        F.to_date(batch.cast("timestamp")).alias("ingest_date"),
-    ).select(*BRONZE.names)
+        F.when(accepted, F.to_date(batch.cast("timestamp"))).alias("ingest_date"),
+        *(["reason"] if tagged else []),
+    )
 
 
 def current_to_bronze(observations: DataFrame, ingested_at: dt.datetime) -> DataFrame:

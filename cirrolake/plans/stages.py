@@ -6,30 +6,30 @@ import datetime as dt
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cirrolake.functions import jsonmap
 from cirrolake.operators import bronze as bz
 from cirrolake.operators.dimensions import dim_date, dim_location, dim_weather
 from cirrolake.operators.fact import fact_from_same_silver
 from cirrolake.operators.quality import gate
-from cirrolake.operators.silver import bronze_to_silver, observations
+from cirrolake.operators.silver import bronze_to_silver_and_rejects, observations
 from cirrolake.plans.dashboard import Gold
-from cirrolake.schemas import GOLD, SILVER
+from cirrolake.schemas import GOLD
 from cirrolake.sinks import publish as pub
-from cirrolake.sinks.merge import finish_replacement
-from cirrolake.sinks.tables import append_bronze, write_fact, write_silver
-from cirrolake.sources.responses import history_observations, read_responses
-from cirrolake.sources.tables import FACT_PARTITION, SILVER_PARTITION, read_bronze, read_gold_table, read_silver
+from cirrolake.sinks.tables import append_bronze, write_fact, write_silver_and_rejects
+from cirrolake.sources.responses import classified, read_responses
+from cirrolake.sources.tables import read_bronze, read_gold_table, read_rejected_bronze, read_rejected_silver, read_silver
+from cirrolake.streaming import live
 from cirrolake.streaming.intake import start_intake
-from cirrolake.streaming.merge import merge_silver, refresh_fact
 
 
 @dataclass(frozen=True)
 class Lake:
-    """The folders of one lakehouse below a common root."""
+    """The folders of one lakehouse below a common root; the live tables have one for each hour, or for each date."""
 
     root: str
+    live_by_hour: bool = True
 
     @property
     def bronze(self) -> str:
@@ -66,39 +66,64 @@ def backfill(
 ) -> int:
     """Append landed history responses to Bronze, the observations from `start` up to and including `end`.
 
-    The same backfill again replaces what it appended.
+    The same backfill again replaces what it appended. What is no observation is kept apart, whatever the range.
     """
     low = dt.datetime.combine(start, dt.time(), dt.UTC).timestamp()
     high = dt.datetime.combine(end + dt.timedelta(days=1), dt.time(), dt.UTC).timestamp()
     seconds = jsonmap.text(F.col("obs"), "ts").try_cast("double")
-    rows = history_observations(read_responses(spark, landing)).where((seconds >= low) & (seconds < high))
+    rows = classified(read_responses(spark, landing), "history")
+    rows = rows.where(F.col("reason").isNotNull() | ((seconds >= low) & (seconds < high)))
     batch = f"backfill-{_short(landing)}-{start}-{end}"
     return append_bronze(bz.history_to_bronze(rows, ingested_at), lake.bronze, batch)
 
 
 @dataclass(frozen=True)
 class SilverRun:
-    """What a refresh of Silver read and wrote; run_id is None when there was nothing to publish."""
+    """What a refresh of Silver read and wrote; run_id is None when there was nothing to publish.
+
+    Every row read is written, rejected, or a duplicate. `attempt` names the version also when it was not published.
+    """
 
     run_id: str | None
     rows_read: int
     rows_written: int
+    rows_rejected: int
+    attempt: str
 
     @property
     def rows_removed(self) -> int:
         """Rows without a place or a readable time, and all but one of each place and hour."""
         return self.rows_read - self.rows_written
 
+    @property
+    def duplicates(self) -> int:
+        return self.rows_removed - self.rows_rejected
+
 
 def refresh_silver(spark: SparkSession, lake: Lake) -> SilverRun:
-    """Full refresh of Silver from Bronze; publishes the new version unless it has no rows."""
+    """Full refresh of Silver from Bronze; publishes the new version unless it has no rows.
+
+    Rows that give no observation are written beside it, with their reason and payload.
+    """
     bronze = read_bronze(spark, lake.bronze)
     run_id = pub.new_run_id()
-    written = write_silver(bronze_to_silver(bronze), pub.run_path(lake.silver, run_id))
+    written, rejected = write_silver_and_rejects(bronze_to_silver_and_rejects(bronze), pub.run_path(lake.silver, run_id))
     if written:
         pub.publish_run(spark, lake.silver, run_id)
     # Counted from the files' footers.
-    return SilverRun(run_id if written else None, bronze.count(), written)
+    return SilverRun(run_id if written else None, bronze.count(), written, rejected, run_id)
+
+
+def rejects(spark: SparkSession, lake: Lake, silver_run: str | None = None) -> DataFrame:
+    """(stage, source, reason, payload, ingested_at) of everything landed that is not in Silver, duplicates aside.
+
+    Of Silver's versions the published one counts, or `silver_run`.
+    """
+    run_id = silver_run or pub.published_run(spark, lake.silver)
+    landed, refined = read_rejected_bronze(spark, lake.bronze), read_rejected_silver(spark, pub.run_path(lake.silver, run_id))
+    columns = ["source", "reason", "payload", "ingested_at"]
+    stage = lambda df, name: df.select(F.lit(name).alias("stage"), *columns)
+    return stage(landed, "bronze").unionByName(stage(refined, "silver"))
 
 
 def build_silver(spark: SparkSession, lake: Lake) -> str | None:
@@ -142,37 +167,29 @@ def build_gold(spark: SparkSession, lake: Lake, database: str | None = None) ->
     return run_id
 
 
-LIVE_SILVER_SCHEMA = T.StructType([*SILVER.fields, T.StructField(SILVER_PARTITION, T.DateType())])
+def live_tables(lake: Lake) -> live.LiveTables:
+    return live.LiveTables(lake.live, lake.live_by_hour)
 
 
 def update_live(spark: SparkSession, lake: Lake, since: dt.date) -> list[dt.date]:
-    """Fold the Bronze partitions from `since` on into the live Silver and fact; returns the dates rewritten.
+    """Fold the Bronze partitions from `since` on into the live star schema; returns the dates with rewritten hours.
 
-    New partitions are tested as a star schema of their own before they replace old ones: a batch that fails raises and
-    leaves the live tables as they were. What a run before it left half-way is finished first. Updating again with the same or an earlier `since` changes
-    nothing, so a failed run is repeated as it was.
+    Only hours in which a row changes are rewritten. They are tested against the stored dimensions before they replace
+    old ones: a batch that fails raises and leaves the live tables as they were. What a run before it left half-way is
+    finished first. Updating again with the same or an earlier `since` changes nothing, so a failed run is repeated as
+    it was.
     """
-    silver, fact = f"{lake.live}/weather_observations", f"{lake.live}/fact_hourly_weather"
-    stages = {silver: f"{lake.live}/stages/silver", fact: f"{lake.live}/stages/fact"}
-
-    def check(staged: DataFrame) -> None:
-        gate(vars(gold_tables(staged.select(*SILVER.names))))
-
-    finish_replacement(spark, LIVE_SILVER_SCHEMA, silver, stages[silver], SILVER_PARTITION, check)
-    finish_replacement(spark, GOLD["fact_hourly_weather"], fact, stages[fact], FACT_PARTITION)
-    dates = merge_silver(observations(read_bronze(spark, lake.bronze, since)), silver, stages[silver], check)
-    refresh_fact(spark, silver, fact, stages[fact], dates)
-    return dates
+    return live.update(live_tables(lake), observations(read_bronze(spark, lake.bronze, since)))
 
 
 def read_live(spark: SparkSession, lake: Lake) -> Gold:
-    """The star schema over the live tables; its dimensions are read off Silver.
+    """The star schema over the live tables and the stored dimensions.
 
     An update replaces files, so read again after one. Readers that must not notice updates use a published version.
     """
-    silver = read_silver(spark, f"{lake.live}/weather_observations")
-    fact = read_gold_table(spark, f"{lake.live}/fact_hourly_weather", "fact_hourly_weather")
-    return Gold(dim_location(silver), dim_date(silver), dim_weather(silver), fact)
+    tables = live_tables(lake)
+    fact = read_gold_table(spark, tables.fact, "fact_hourly_weather")
+    return Gold(**live.read_dimensions(spark, tables), fact_hourly_weather=fact)
 
 
 def run_all(

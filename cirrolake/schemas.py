@@ -129,6 +129,9 @@ WEATHER_NAMES = {"code": "weather_code", "description": "weather_description", "
 # The columns that come straight from Bronze and the payload; the rest of Silver is derived from them.
 OBSERVATION_COLUMNS = [f.name for f in SILVER.fields[:24]]
 
+#: Beside Silver's columns in rows that it rejects.
+REJECT_COLUMNS = ["reason", "raw_payload"]
+
 CORRUPT = "_corrupt_record"
 
 # `ts` comes as a number or as text; a bigint field would turn 1761800400.0 and "1761800400" into null.

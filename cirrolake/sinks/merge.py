@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -49,21 +49,37 @@ def replace_partitions(rows: DataFrame, path: str, stage: str, partition: str, c
     finish_replacement(rows.sparkSession, rows.schema, path, stage, partition, check)
 
 
+def staged(rows: DataFrame, stage: str) -> DataFrame:
+    """The rows as written to `stage`, in no arrangement; what a complete stage holds already is taken as it is."""
+    if not path_exists(rows.sparkSession, f"{stage}/_SUCCESS"):
+        rows.write.mode("overwrite").parquet(stage)
+    return rows.sparkSession.read.schema(rows.schema).parquet(stage)
+
+
 def finish_replacement(
-    spark: SparkSession, schema: StructType, path: str, stage: str, partition: str, check: Check | None = None
+    spark: SparkSession,
+    schema: StructType,
+    path: str,
+    stage: str,
+    partition: str | Sequence[str],
+    check: Check | None = None,
+    arranged: bool = True,
 ) -> None:
     """Write a complete stage over the partitions of `path`, then remove it. Does nothing when there is none.
 
-    A stage that `check` objects to is removed, and the error raised. The stage lies in few files a partition already.
+    A stage that `check` objects to is removed, and the error raised. An `arranged` stage lies in few files a partition
+    already.
     """
     if not path_exists(spark, f"{stage}/_SUCCESS"):
         return
-    staged = spark.read.schema(schema).parquet(stage)
+    rows = spark.read.schema(schema).parquet(stage)
     if check is not None:
         try:
-            check(staged)
+            check(rows)
         except Exception:
             remove(spark, stage)
             raise
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    columns = [partition] if isinstance(partition, str) else partition
+    rows = rows if arranged else evenly_by(rows, *columns)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
     remove(spark, stage)

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cirrolake.sinks.merge import folders, remove
+
 LOG = "published"
 LOG_SCHEMA = "run_id string, published_at timestamp"
 
@@ -43,6 +45,25 @@ def read_published(spark: SparkSession, root: str, table: str | None = None) ->
     return spark.read.parquet(run_path(root, published_run(spark, root), table))
 
 
+def drop_versions(spark: SparkSession, root: str, keep: int, older_than: dt.timedelta | None = None) -> list[str]:
+    """Remove published versions but the newest `keep`; with `older_than` only those that were replaced so long ago.
+
+    A reader that holds a version has until then. Versions that were never published, such as one being written, stay.
+    """
+    there = [f.removeprefix("run_id=") for f in folders(spark, root) if f.startswith("run_id=")]
+    if len(there) <= keep:
+        return []
+    log = spark.read.schema(LOG_SCHEMA).parquet(f"{root.rstrip('/')}/{LOG}").where(F.col("run_id").isin(there))
+    last = log.groupBy("run_id").agg(F.max("published_at").alias("published_at"))
+    newest = last.orderBy(F.desc("published_at"), F.desc("run_id")).collect()
+    dropped = []
+    for replaced_by, version in zip(newest[keep - 1 :], newest[keep:]):
+        if older_than is None or dt.datetime.now(dt.UTC) - replaced_by["published_at"].astimezone(dt.UTC) >= older_than:
+            remove(spark, run_path(root, version["run_id"]))
+            dropped.append(version["run_id"])
+    return dropped
+
+
 def repoint_views(spark: SparkSession, root: str, run_id: str, tables: list[str], database: str | None = None) -> None:
     """Point one view per table at a version: catalog views in `database`, else views of the session."""
     for table in tables:

@@ -80,6 +80,50 @@ def harmonise_history(observations: DataFrame) -> DataFrame:
     return renamed.select(jsonmap.put_nulls(F.col("obs"), "app_temp", "aqi").alias("obs"))
 
 
+# Why a landed document, or an element of its `data`, gives no observation.
+NOT_JSON, NOT_OBJECT = "body_not_json", "body_not_object"
+NOT_ARRAY, ELEMENT_NOT_OBJECT = "data_not_array", "element_not_object"
+
+
+def classified(responses: DataFrame, feed: str = "current") -> DataFrame:
+    """(obs, rejected, reason): every observation of landed documents, and beside them what cannot be one.
+
+    One parse gives both. `reason` is null for observations; else `rejected` is the body, or the element's JSON. A
+    document without `data`, or with an empty or null one, gives nothing: there is nothing wrong with it. Observations
+    are what `current_observations` and `history_observations` give.
+    """
+    parsed = responses.select("body", F.try_parse_json("body").alias("json"))
+    documents = parsed.select("body", F.col("json").isNotNull().alias("is_json"), F.try_variant_get("json", "$", OBSERVATION_MAP).alias("doc"))
+    data = F.try_element_at("doc", F.lit("data"))
+    opened = documents.select("body", "is_json", "doc", data.alias("data"), F.try_variant_get(data, "$", "array<variant>").alias("elements"))
+    why = (
+        F.when(~F.col("is_json"), NOT_JSON)
+        .when(F.col("doc").isNull(), NOT_OBJECT)
+        .when(F.col("data").isNotNull() & ~F.is_variant_null("data") & F.col("elements").isNull(), NOT_ARRAY)
+    )
+    judged = opened.select("body", "doc", "elements", why.alias("why"))
+    units = F.when(F.col("why").isNotNull(), F.array(F.lit(None).cast("variant"))).otherwise(F.col("elements"))
+    found = judged.select(
+        F.try_variant_get(F.try_element_at("doc", F.lit("place_name")), "$", "string").alias("place_name"),
+        *([jsonmap.without(F.col("doc"), "data").alias("meta")] if feed == "history" else []),
+        "why",
+        F.when(F.col("why").isNotNull(), F.col("body")).alias("body"),
+        F.explode(units).alias("element"),
+    )
+    others = [c for c in found.columns if c != "element"]
+    maps = found.select(*others, "element", F.try_variant_get("element", "$", OBSERVATION_MAP).alias("obs"))
+    reason = F.coalesce(F.col("why"), F.when(F.col("obs").isNull(), ELEMENT_NOT_OBJECT))
+    rejected = F.when(F.col("why").isNotNull(), F.col("body")).when(F.col("obs").isNull(), F.coalesce(F.to_json("element"), F.lit("null")))
+    kept = maps.withColumn("reason", reason).withColumn("rejected", rejected)
+    if feed == "history":
+        kept = kept.withColumn("obs", jsonmap.overlay(F.col("meta"), F.col("obs")))
+    kept = kept.withColumn("obs", jsonmap.put(F.col("obs"), "place_name", F.col("place_name")))
+    if feed == "history":
+        kept = kept.withColumn("obs", jsonmap.rename_key(F.col("obs"), "wind_gust_spd", "gust"))
+        kept = kept.withColumn("obs", jsonmap.put_nulls(F.col("obs"), "app_temp", "aqi"))
+    return kept.select("obs", "rejected", "reason")
+
+
 def rejected_responses(responses: DataFrame) -> DataFrame:
     """Responses whose body is not JSON."""
     return responses.where(F.try_parse_json("body").isNull())

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from cirrolake.schemas import BRONZE, DATE, GOLD, SILVER
+from cirrolake.schemas import BRONZE, DATE, GOLD, REJECT_COLUMNS, SILVER, STRING
 
 SILVER_PARTITION = "observed_date"
 FACT_PARTITION = "date_key"
@@ -21,10 +21,18 @@ def read_bronze(spark: SparkSession, path: str, since: dt.date | None = None, me
     envelope columns that only some of them have are kept.
     """
     if merge:
-        bronze = spark.read.option("mergeSchema", True).parquet(path).drop("batch")
+        bronze = spark.read.option("mergeSchema", True).parquet(path).drop("batch", "reason")
     else:
         bronze = spark.read.schema(BRONZE).parquet(path).select(*BRONZE.names)
-    return bronze if since is None else bronze.where(F.col("ingest_date") >= F.lit(since))
+    # Rejected rows have no ingest date.
+    return bronze.where(F.col("ingest_date").isNotNull() if since is None else F.col("ingest_date") >= F.lit(since))
+
+
+def read_rejected_bronze(spark: SparkSession, path: str) -> DataFrame:
+    """(source, reason, payload, ingested_at) of what was landed and is no observation."""
+    schema = StructType([*BRONZE.fields, StructField("reason", STRING)])
+    rows = spark.read.schema(schema).parquet(path).where(F.col("ingest_date").isNull())
+    return rows.select("source", "reason", F.col("raw_payload").alias("payload"), F.col("_ingested_at").alias("ingested_at"))
 
 
 def read_silver(
@@ -35,12 +43,21 @@ def read_silver(
     With `keep_date` the partition column follows them, for questions that prune by it.
     """
     schema = StructType([*SILVER.fields, StructField(SILVER_PARTITION, DATE)])
-    silver = spark.read.schema(schema).parquet(path)
+    # Rejected rows lie in a partition without a date.
+    silver = spark.read.schema(schema).parquet(path).where(F.col(SILVER_PARTITION).isNotNull())
     if dates is not None:
         silver = silver.where(F.col(SILVER_PARTITION).isin(list(dates)))
     return silver if keep_date else silver.select(*SILVER.names)
 
 
+def read_rejected_silver(spark: SparkSession, path: str) -> DataFrame:
+    """(source, reason, payload, ingested_at) of Bronze rows that gave no observation."""
+    extra = [StructField(c, STRING) for c in REJECT_COLUMNS]
+    schema = StructType([*SILVER.fields, *extra, StructField(SILVER_PARTITION, DATE)])
+    rows = spark.read.schema(schema).parquet(path).where(F.col(SILVER_PARTITION).isNull())
+    return rows.select("source", "reason", F.col("raw_payload").alias("payload"), "ingested_at")
+
+
 def read_gold_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A table of the star schema, its columns in their order wherever the partition column is stored."""
     return spark.read.schema(GOLD[table]).parquet(path).select(*GOLD[table].names)

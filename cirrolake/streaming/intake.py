@@ -11,11 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cirrolake.operators.bronze import current_to_bronze, history_to_bronze
 from cirrolake.sinks.tables import append_bronze
-from cirrolake.sources.responses import current_observations, history_observations, stream_responses
+from cirrolake.sources.responses import classified, stream_responses
 
-FEEDS: dict[str, tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame, dt.datetime], DataFrame]]] = {
-    "current": (current_observations, current_to_bronze),
-    "history": (history_observations, history_to_bronze),
+FEEDS: dict[str, Callable[[DataFrame, dt.datetime], DataFrame]] = {
+    "current": current_to_bronze,
+    "history": history_to_bronze,
 }
 
 
@@ -31,15 +31,17 @@ def start_intake(
 ) -> StreamingQuery:
     """Take what has landed since the last call and stop. One ingest time per call; `appended` gets each batch's rows.
 
+    What is no observation is kept too, apart from the others: see `tables.read_rejected_bronze`.
+
     A batch is named after the stream and its number, so one that runs again after a failure replaces itself, and any
     number of feeds, streams and batch appends may share one Bronze table.
     """
-    explode, wrap = FEEDS[feed]
+    wrap = FEEDS[feed]
     batch_time = ingested_at or dt.datetime.now(dt.UTC)
     stream = f"{feed}-{hashlib.md5(checkpoint.encode()).hexdigest()[:12]}"
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = append_bronze(wrap(explode(batch), batch_time), bronze, f"{stream}-{number}")
+        rows = append_bronze(wrap(classified(batch, feed), batch_time), bronze, f"{stream}-{number}")
         if appended is not None:
             appended.append(rows)
 

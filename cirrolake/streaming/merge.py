@@ -59,22 +59,26 @@ def read_fact(spark: SparkSession, fact_path: str) -> DataFrame:
     return read_gold_table(spark, fact_path, "fact_hourly_weather")
 
 
-def merging_sink(silver_path: str, stages: str) -> Callable[[DataFrame, int], None]:
+def merging_sink(silver_path: str, stages: str, check: Check | None = None) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function. A batch that is run again after a failure finds its own finished stage and reuses it.
 
     Batch numbers belong to one stream, so `stages` must too.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        merge_silver(batch, silver_path, f"{stages}/batch={batch_id}")
+        merge_silver(batch, silver_path, f"{stages}/batch={batch_id}", check)
 
     return write
 
 
-def start_merge(stream: DataFrame, silver_path: str, checkpoint: str) -> StreamingQuery:
-    """Fold a stream of observations into Silver until nothing new is available."""
+def start_merge(stream: DataFrame, silver_path: str, checkpoint: str, check: Check | None = None) -> StreamingQuery:
+    """Fold a stream of observations into Silver until nothing new is available.
+
+    `check` sees the staged dates of each batch and may raise: then the stream ends and Silver stays as it was. A whole
+    star schema with stored dimensions and its tests is kept by `live.start_live`.
+    """
     return (
-        stream.writeStream.foreachBatch(merging_sink(silver_path, f"{checkpoint.rstrip('/')}/stages"))
+        stream.writeStream.foreachBatch(merging_sink(silver_path, f"{checkpoint.rstrip('/')}/stages", check))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

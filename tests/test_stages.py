@@ -93,14 +93,16 @@ def test_live_update_is_repeatable_and_finishes_leftovers(spark, path):
     land(path("two"), body("A", 3, day=29), body("B", 1))
     later = NOON + dt.timedelta(days=1)
     stages.ingest_current(spark, path("two"), lake, later)
-    # A run before died after it had staged the new Silver partitions.
+    # A run before died after it had staged the new Silver partition of one hour.
     silver_path, stage = f"{lake.live}/weather_observations", f"{lake.live}/stages/silver"
     leftover = src.read_silver(spark, silver_path, keep_date=True).where("hour(observed_at) = 1")
     leftover.write.partitionBy("observed_date").parquet(stage)
     assert [d.day for d in stages.update_live(spark, lake, later.date())] == [29, 30]
     assert not path_exists(spark, stage)
     live = stages.read_live(spark, lake)
-    assert values(live.fact_hourly_weather, "date_key", "observation_hour") == [(20251029, 3), (20251030, 1), (20251030, 1)]
+    assert values(live.fact_hourly_weather, "date_key", "observation_hour") == [
+        (20251029, 3), (20251030, 1), (20251030, 1), (20251030, 2)
+    ]
     # Everything again, from the first batch on.
     stages.update_live(spark, lake, NOON.date())
     live = stages.read_live(spark, lake)

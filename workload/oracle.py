@@ -61,13 +61,27 @@ def observation_id(source: str, lat: str, lon: str, ts: str) -> str:
 
 EPOCH = "CAST(epoch(observed_at) AS BIGINT)"
 
-LANDED = f"""
-landed AS (
-  SELECT * REPLACE (
+AS_LANDED = f"""SELECT * REPLACE (
     {observation_id('weatherbit', 'latitude', 'longitude', EPOCH)} AS id,
     'weatherbit_current' AS source, {BATCH} AS ingested_at)
-  FROM obs
+  FROM obs"""
+LANDED = f"""
+landed AS (
+  {AS_LANDED}
 )"""
+# Of dirty documents those that come through; see the proxy for the others.
+DIRTY = f"""
+dirty AS (
+  {AS_LANDED} WHERE CAST(obs.id AS BIGINT) % 10 IN (3, 9)
+),
+shapes AS (
+  SELECT COUNT(*) FILTER (event_id % 10 = 0) AS broken, COUNT(*) FILTER (event_id % 10 = 1) AS listed,
+    COUNT(*) FILTER (event_id % 10 = 2) AS busy, COUNT(*) FILTER (event_id % 10 = 3) AS mixed,
+    COUNT(*) FILTER (event_id % 10 = 4) AS unplaced, COUNT(*) FILTER (event_id % 10 IN (5, 6, 8)) AS untimed,
+    COUNT(*) FILTER (event_id % 10 = 9) AS sound
+  FROM events
+)"""
+
 EARLY = "\nearly AS (SELECT * FROM landed WHERE observed_at < TIMESTAMP '2024-01-16 12:00:00')"
 
 
@@ -456,5 +470,16 @@ GROUP BY 1, 2, 3, 4""",
     "run_twice": f"{with_(obs())}{CURRENT}",
     "stream_two_feeds": f"""{with_(obs())}{CURRENT} UNION ALL {BACKFILLED}
 UNION ALL {BACKFILLED} WHERE CAST(observed_at AS DATE) BETWEEN {FILTER_DATES}""",
+    "rejects": f"""{with_(obs(), DIRTY, silver('dirty'))}SELECT * FROM (
+  SELECT 'bronze' AS stage, unnest(['body_not_json', 'body_not_object', 'data_not_array', 'element_not_object', 'accepted']) AS reason,
+    unnest([broken, listed, busy, 3 * mixed, mixed + unplaced + untimed + sound]) AS n FROM shapes
+  UNION ALL
+  SELECT 'silver', unnest(['no_place', 'unreadable_time', 'accepted', 'duplicate']),
+    unnest([unplaced, untimed, (SELECT COUNT(*) FROM silver), mixed + sound - (SELECT COUNT(*) FROM silver)]) FROM shapes
+) WHERE n > 0 OR reason IN ('accepted', 'duplicate')""",
+    "silver_dirty": f"{with_(obs(), DIRTY, silver('dirty'))}SELECT * FROM silver",
+    "live_stream": f"""{with_(obs(), silver(), dims(), fact('silver', 3))}SELECT fact.*, dim_location.* EXCLUDE (location_key),
+  (SELECT COUNT(*) FROM dim_date) AS n_dim_date, (SELECT COUNT(*) FROM dim_weather) AS n_dim_weather
+FROM fact LEFT JOIN dim_location USING (location_key)""",
     "live_gate": f"""{with_(obs(), LANDED, EARLY, silver('early'), dims(), fact())}{FACT_COLUMNS}""",
 }

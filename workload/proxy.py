@@ -126,6 +126,31 @@ def uneven_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(place, body.alias("body"))
 
 
+def dirty_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which most are broken, each in a way that follows from the event's number.
+
+    0 cut off, 1 no object, 2 `data` no array, 3 `data` with elements that are no objects, 4 no place, 5 a time that is no
+    number, 6 a time too far off, 7 no `data`, 8 no time; 9 is sound.
+    """
+    place = observation_columns()["place"].alias("place_name")
+    shape = F.col("event_id") % 10
+    sound = F.to_json(F.struct(place, F.array(_payload()).alias("data")))
+    timed = lambda ts: F.regexp_replace(sound, '"ts":[0-9]+', f'"ts":{ts}')
+    body = (
+        F.when(shape == 0, F.substring(sound, 1, 40))
+        .when(shape == 1, F.lit("[1, 2]"))
+        .when(shape == 2, F.to_json(F.struct(place, F.lit("busy").alias("data"))))
+        .when(shape == 3, F.regexp_replace(sound, r"\]\}$", ', 5, null, "x"]}'))
+        .when(shape == 4, F.to_json(F.struct(F.array(_payload()).alias("data"))))
+        .when(shape == 5, timed('"never"'))
+        .when(shape == 6, timed("99999999999"))
+        .when(shape == 7, F.to_json(F.struct(place)))
+        .when(shape == 8, timed("null"))
+        .otherwise(sound)
+    )
+    return table(spark, sf_dir, "events").select(place, body.alias("body"))
+
+
 def history_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A history response per lineitem: the order is its metadata, the item its observation.
 
