@@ -178,13 +178,43 @@ def weather_distribution(gold: Gold, dates: Dates = None, places: Places = None)
     return counts.withColumn("share", F.col("observation_count") / F.nullif(in_place, F.lit(0)))
 
 
-def detail_table(gold: Gold, dates: Dates = None, places: Places = None, limit: int = 200) -> DataFrame:
-    """The newest fact rows with their labels. Beyond date and hour the order is ours, so that it is total."""
+def newest_date_keys(gold: Gold, dates: Dates = None, limit: int = 200) -> DataFrame:
+    """One row `keys`: the keys of the newest dates that hold `limit` fact rows together; null if all dates hold fewer.
+
+    Each date counts one row at least, so there are at most `limit` keys. Of a stored fact only row counts are read.
+    """
+    d = gold.dim_date.select("date_key", "full_date")
+    counts = gold.fact_hourly_weather.groupBy("date_key").agg(F.count(F.lit(1)).alias("_n")).join(d, "date_key")
+    wanted = _in_dates(F.col("full_date"), dates)
+    counts = counts if wanted is None else counts.where(wanted)
+    # One row for each date of the calendar.
+    newer = Window.orderBy(F.col("full_date").desc(), F.col("date_key").desc())
+    found = counts.select(
+        "date_key",
+        "_n",
+        F.coalesce(F.sum("_n").over(newer.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+    )
+    keys = F.sort_array(F.collect_list(F.when(F.col("_before") < limit, F.col("date_key"))))
+    return found.agg(F.when(F.sum("_n") >= limit, keys).alias("keys"))
+
+
+def detail_table(
+    gold: Gold, dates: Dates = None, places: Places = None, limit: int = 200, stored: bool = False
+) -> DataFrame:
+    """The newest fact rows with their labels. Beyond date and hour the order is ours, so that it is total.
+
+    Of a `stored` fact, partitioned by date, the dates' row counts are read first, and then only the newest dates that
+    hold enough rows. With `places` these counts say nothing, and all wanted dates are read.
+    """
     d = gold.dim_date.select("date_key", "full_date")
     l = gold.dim_location.select("location_key", "place")
     w = gold.dim_weather.select("weather_key", "weather_description")
+    fact = gold.fact_hourly_weather
+    if stored and places is None:
+        keys = newest_date_keys(gold, dates, limit).scalar()
+        fact = fact.where(F.coalesce(F.array_contains(keys, F.col("date_key")), keys.isNull()))
     rows = (
-        gold.fact_hourly_weather.join(l, "location_key", "left")
+        fact.join(l, "location_key", "left")
         .join(d, "date_key", "left")
         .join(w, "weather_key", "left")
     )

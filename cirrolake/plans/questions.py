@@ -39,9 +39,10 @@ def against_past_week(silver: DataFrame, days: int = 7, scale: int | None = None
     """Each observation's temperature next to the place's average over the `days` days before it.
 
     The past of an observation on day D is the whole of days D-1 .. D-(days-1), the part of D before it, and the part
-    of day D-days from the same time of day on. Whole days enter as day totals, and rows also appear once, moved
-    `days` days ahead. So all that a day of a place needs meets under (place, day): the group stays as small as a
-    day, however long the place's history is.
+    of day D-days from the same time of day on. Whole days enter as one total for each day of a place that has rows,
+    summed over its daily totals, and rows also appear once, moved `days` days ahead. So all that a day of a place needs
+    meets under (place, day): the group stays as small as a day, however long the place's history is. Only daily totals,
+    one for each day of the calendar, meet under the place.
     """
     value = F.col("temperature") if scale is None else F.col("temperature").cast(f"decimal(18,{scale})")
     at = F.unix_seconds("observed_at")
@@ -61,7 +62,8 @@ def against_past_week(silver: DataFrame, days: int = 7, scale: int | None = None
     )
     if days > 1:
         daily = rows.groupBy("place", "_day").agg(F.sum("_v").alias("_v"), F.count("_v").alias("_n"))
-        ahead = daily.withColumn("_day", F.explode(F.sequence(F.col("_day") + 1, F.col("_day") + (days - 1))))
+        before = Window.partitionBy("place").orderBy("_day").rangeBetween(-(days - 1), -1)
+        ahead = daily.select("place", "_day", F.sum("_v").over(before).alias("_v"), F.sum("_n").over(before).alias("_n"))
         whole = ahead.withColumns({"_kind": F.lit(WHOLE), "_at": F.col("_day") * DAY})
         parts = parts.unionByName(whole, allowMissingColumns=True)
     day = Window.partitionBy("place", "_day").orderBy("_at")

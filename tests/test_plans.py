@@ -41,7 +41,7 @@ def lake(spark, tmp_path_factory):
 
 
 def test_silver_has_one_shuffle_and_one_parse(spark, path):
-    bronze(spark, {"place_name": "A", "ts": 1761800400}).write.parquet(path("b"))
+    bronze(spark, {"place_name": "A", "ts": 1761800400}).write.partitionBy("ingest_date").parquet(path("b"))
     text = plan(bronze_to_silver(src.read_bronze(spark, path("b"))))
     assert shuffles(text) == 1
     assert text.count("from_json") == 1
@@ -112,8 +112,26 @@ def test_no_python_in_any_plan(spark, tmp_path_factory):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
+def test_the_detail_table_reads_the_newest_dates_only(spark, lake):
+    """Two dates hold ten rows: six on the last one, four of the one before it are needed."""
+    gold = stages.read_gold(spark, lake)
+    detail = dash.detail_table(gold, limit=10, stored=True)
+    text = plan(detail)
+    assert re.search(r"PartitionFilters: \[[^\]]*array_contains\((Reused)?Subquery", text)
+    assert dash.newest_date_keys(gold, limit=10).first()["keys"] == [20251029, 20251030]
+    assert detail.collect() == dash.detail_table(gold, limit=10).collect()
+    counts = plan(dash.newest_date_keys(gold, limit=10))
+    assert "ReadSchema: struct<>" in counts
+    # Fewer rows than wanted, dates that are filtered, and places, for which row counts say nothing.
+    assert dash.newest_date_keys(gold, limit=19).first()["keys"] is None
+    day = at(0, day=29).date()
+    for how in ({"limit": 19}, {"limit": 4, "dates": (day, day)}, {"limit": 4, "places": ["A"]}):
+        assert dash.detail_table(gold, stored=True, **how).collect() == dash.detail_table(gold, **how).collect()
+
+
 def test_past_week_is_split_by_day(spark, lake):
-    """The past-week window is split by day, however long a place's history is."""
+    """The past-week window is split by day, however long a place's history is, and a day's total travels once."""
     text = plan(questions.against_past_week(stages.current_silver(spark, lake)))
+    assert "sequence" not in text and text.count("Generate") == 1
     assert re.search(r"Exchange hashpartitioning\(place#\d+, _day#\d+L?", text)
     assert "SinglePartition" not in text

@@ -397,6 +397,7 @@ WHERE full_date BETWEEN {FILTER_DATES} AND place IN {FILTER_PLACES}""",
     / CAST(SUM(SUM(observation_count)) OVER (PARTITION BY place) AS DOUBLE) AS share
 FROM {LABELLED} GROUP BY place, weather_description""",
     "detail_table": detail("true", gaps=True),
+    "detail_stored": detail("true", gaps=True),
     "detail_filtered": detail(f"full_date BETWEEN {FILTER_DATES} AND place IN {FILTER_PLACES}", gaps=False),
     "last_24h_trend": trend(24, "hour"),
     "last_24h_partitions": trend(24, "hour"),

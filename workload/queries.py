@@ -385,6 +385,15 @@ def detail_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dash.detail_table(_gold(spark, sf_dir), FILTER_DATES, FILTER_PLACES)
 
 
+@query
+def detail_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail table of a written star schema, of which only the newest dates are read."""
+    lake = stages.Lake(scratch_dir(spark, "detail"))
+    sink.write_silver(proxy.silver(spark, sf_dir, gaps=True), f"{lake.silver}/candidate")
+    silver = lake_tables.read_silver(spark, f"{lake.silver}/candidate")
+    return dash.detail_table(stages.write_gold(silver, lake, pub.new_run_id()), stored=True)
+
+
 # Questions
 
 
