@@ -17,20 +17,26 @@ HISTORY_SOURCE, HISTORY_ID_SOURCE = "weatherbit_historical", "weatherbit_histori
 def envelope(
     observations: DataFrame, source: str, id_source: str, ingested_at: dt.datetime, obs: str = "obs"
 ) -> DataFrame:
-    """Bronze rows from maps of JSON values; the payload keeps every key, nulls too. One ingest time per batch.
+    """Bronze rows from maps of JSON values, or from payloads with the values of an id. One ingest time per batch.
 
+    Of a map the payload keeps every key, nulls too, and numbers in their shortest form; a payload stays as it is.
     Classified rows keep their `reason`. Rejected ones have what was rejected as payload, no id, and no ingest date, by
     which Bronze stores them apart.
     """
-    m = F.col(obs)
     batch = F.lit(ingested_at)
-    payload = F.to_json(m, {"ignoreNullFields": "false"})
+    if "payload" in observations.columns:
+        payload, ts = F.col("payload"), F.col("ts")
+        lat, lon = (F.col(c).try_cast("double") for c in ("lat", "lon"))
+    else:
+        m = F.col(obs)
+        payload, ts = F.to_json(m, {"ignoreNullFields": "false"}), jsonmap.text(m, "ts")
+        lat, lon = (jsonmap.number(m, c) for c in ("lat", "lon"))
     tagged = "reason" in observations.columns
     parts = observations.select(
         (F.coalesce("rejected", payload) if tagged else payload).alias("raw_payload"),
-        jsonmap.number(m, "lat").alias("lat"),
-        jsonmap.number(m, "lon").alias("lon"),
-        jsonmap.text(m, "ts").alias("ts"),
+        lat.alias("lat"),
+        lon.alias("lon"),
+        ts.alias("ts"),
         *(["reason"] if tagged else []),
     )
     named = with_observation_id(parts, id_source)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from cirrolake.functions import jsonmap
+from cirrolake.schemas import CORRUPT
 
 OBSERVATION_MAP = "map<string,variant>"
 
@@ -85,43 +86,101 @@ NOT_JSON, NOT_OBJECT = "body_not_json", "body_not_object"
 NOT_ARRAY, ELEMENT_NOT_OBJECT = "data_not_array", "element_not_object"
 
 
+ID_PARTS = ["lat", "lon", "ts"]
+
+
 def classified(responses: DataFrame, feed: str = "current") -> DataFrame:
-    """(obs, rejected, reason): every observation of landed documents, and beside them what cannot be one.
+    """Every observation of landed documents, and beside them what cannot be one; one parse gives both.
+
+    `reason` is null for observations; else `rejected` is the body, or the element's JSON. A document without `data`, or
+    with an empty or null one, gives nothing: there is nothing wrong with it. Of history responses the observations are
+    the maps `obs` of `history_observations`; of current ones `payload` is the element's own JSON with our place name at
+    its end, and `lat`, `lon`, `ts` are the texts of its values.
+    """
+    return _classified_current(responses) if feed == "current" else _classified_history(responses)
+
+
+def _why(json: Column, document: Column, data: Column, elements: Column) -> Column:
+    """Why a body gives no elements; null where nothing is wrong with it."""
+    return (
+        F.when(json.isNull(), NOT_JSON)
+        .when(document.isNull(), NOT_OBJECT)
+        .when(data.isNotNull() & ~F.is_variant_null(data) & elements.isNull(), NOT_ARRAY)
+    )
+
+
+def _classified_current(responses: DataFrame) -> DataFrame:
+    """The body is parsed once for the place and the elements' texts.
 
-    One parse gives both. `reason` is null for observations; else `rejected` is the body, or the element's JSON. A
-    document without `data`, or with an empty or null one, gives nothing: there is nothing wrong with it. Observations
-    are what `current_observations` and `history_observations` give.
+    As texts an element that is a string cannot be told from others, so documents are parsed a second time where an
+    element does not begin like an object, or a string does.
     """
+    shape = f"place_name string, data array<string>, {CORRUPT} string"
+    first = responses.select("body", F.from_json("body", shape, {"columnNameOfCorruptRecord": CORRUPT}).alias("doc"))
+    doubtful = (
+        F.col("doc").isNull()
+        | F.col("doc")[CORRUPT].isNotNull()
+        | F.exists(F.col("doc")["data"], lambda e: e.isNull() | ~e.startswith("{"))
+        | F.col("body").rlike(r'[\[,]\s*"\s*\{')
+    )
+    opened = first.select("body", "doc", F.coalesce(doubtful, F.lit(False)).alias("doubtful"))
+    json = F.when(F.col("doubtful"), F.try_parse_json("body"))
+    again = opened.select("body", "doc", "doubtful", json.alias("json"))
+    document = F.try_variant_get("json", "$", OBSERVATION_MAP)
+    data = F.try_variant_get("json", "$.data", "variant")
+    found = F.try_variant_get("json", "$.data", "array<variant>")
+    judged = again.select(
+        "body",
+        F.col("doc")["place_name"].alias("place_name"),
+        F.when(F.col("doubtful"), _why(F.col("json"), document, data, found)).alias("why"),
+        F.when(F.col("doubtful"), F.transform(found, lambda e: F.coalesce(F.to_json(e), F.lit("null"))))
+        .otherwise(F.col("doc")["data"])
+        .alias("elements"),
+    )
+    units = F.when(F.col("why").isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(F.col("elements"))
+    rows = judged.select("place_name", "why", F.when(F.col("why").isNotNull(), F.col("body")).alias("body"), F.explode(units).alias("element"))
+    is_object = F.col("element").startswith("{")
+    reason = F.coalesce(F.col("why"), F.when(~is_object, ELEMENT_NOT_OBJECT))
+    parts = F.from_json("element", ", ".join(f"{p} string" for p in ID_PARTS))
+    kept = rows.select(
+        F.when(is_object, _with_name(F.col("element"), F.col("place_name"))).alias("payload"),
+        F.coalesce("body", F.when(~is_object, F.col("element"))).alias("rejected"),
+        reason.alias("reason"),
+        F.when(is_object, parts).alias("parts"),
+    )
+    return kept.select("payload", *[F.col("parts")[p].alias(p) for p in ID_PARTS], "rejected", "reason")
+
+
+def _with_name(element: Column, place_name: Column) -> Column:
+    """An object's text with `place_name` at its end; where it may have one already, through a map."""
+    quoted = F.to_json(F.struct(place_name.alias("p")), {"ignoreNullFields": "false"})
+    name = F.substr(quoted, F.lit(6), F.length(quoted) - 6)
+    appended = F.concat(F.left(element, F.length(element) - 1), F.when(element != "{}", ",").otherwise(""), F.lit('"place_name":'), name, F.lit("}"))
+    replaced = jsonmap.put(F.try_variant_get(F.try_parse_json(element), "$", OBSERVATION_MAP), "place_name", place_name)
+    return F.when(element.contains('"place_name"'), F.to_json(replaced, {"ignoreNullFields": "false"})).otherwise(appended)
+
+
+def _classified_history(responses: DataFrame) -> DataFrame:
     parsed = responses.select("body", F.try_parse_json("body").alias("json"))
-    documents = parsed.select("body", F.col("json").isNotNull().alias("is_json"), F.try_variant_get("json", "$", OBSERVATION_MAP).alias("doc"))
+    documents = parsed.select("body", "json", F.try_variant_get("json", "$", OBSERVATION_MAP).alias("doc"))
     data = F.try_element_at("doc", F.lit("data"))
-    opened = documents.select("body", "is_json", "doc", data.alias("data"), F.try_variant_get(data, "$", "array<variant>").alias("elements"))
-    why = (
-        F.when(~F.col("is_json"), NOT_JSON)
-        .when(F.col("doc").isNull(), NOT_OBJECT)
-        .when(F.col("data").isNotNull() & ~F.is_variant_null("data") & F.col("elements").isNull(), NOT_ARRAY)
-    )
-    judged = opened.select("body", "doc", "elements", why.alias("why"))
+    elements = F.try_variant_get(data, "$", "array<variant>")
+    judged = documents.select("body", "doc", elements.alias("elements"), _why(F.col("json"), F.col("doc"), data, elements).alias("why"))
     units = F.when(F.col("why").isNotNull(), F.array(F.lit(None).cast("variant"))).otherwise(F.col("elements"))
     found = judged.select(
         F.try_variant_get(F.try_element_at("doc", F.lit("place_name")), "$", "string").alias("place_name"),
-        *([jsonmap.without(F.col("doc"), "data").alias("meta")] if feed == "history" else []),
+        jsonmap.without(F.col("doc"), "data").alias("meta"),
         "why",
         F.when(F.col("why").isNotNull(), F.col("body")).alias("body"),
         F.explode(units).alias("element"),
     )
-    others = [c for c in found.columns if c != "element"]
-    maps = found.select(*others, "element", F.try_variant_get("element", "$", OBSERVATION_MAP).alias("obs"))
+    maps = found.withColumn("obs", F.try_variant_get("element", "$", OBSERVATION_MAP))
     reason = F.coalesce(F.col("why"), F.when(F.col("obs").isNull(), ELEMENT_NOT_OBJECT))
-    rejected = F.when(F.col("why").isNotNull(), F.col("body")).when(F.col("obs").isNull(), F.coalesce(F.to_json("element"), F.lit("null")))
-    kept = maps.withColumn("reason", reason).withColumn("rejected", rejected)
-    if feed == "history":
-        kept = kept.withColumn("obs", jsonmap.overlay(F.col("meta"), F.col("obs")))
-    kept = kept.withColumn("obs", jsonmap.put(F.col("obs"), "place_name", F.col("place_name")))
-    if feed == "history":
-        kept = kept.withColumn("obs", jsonmap.rename_key(F.col("obs"), "wind_gust_spd", "gust"))
-        kept = kept.withColumn("obs", jsonmap.put_nulls(F.col("obs"), "app_temp", "aqi"))
-    return kept.select("obs", "rejected", "reason")
+    rejected = F.coalesce("body", F.when(F.col("obs").isNull(), F.coalesce(F.to_json("element"), F.lit("null"))))
+    merged = jsonmap.put(jsonmap.overlay(F.col("meta"), F.col("obs")), "place_name", F.col("place_name"))
+    kept = maps.select(merged.alias("obs"), rejected.alias("rejected"), reason.alias("reason"))
+    renamed = kept.withColumn("obs", jsonmap.rename_key(F.col("obs"), "wind_gust_spd", "gust"))
+    return renamed.withColumn("obs", jsonmap.put_nulls(F.col("obs"), "app_temp", "aqi"))
 
 
 def rejected_responses(responses: DataFrame) -> DataFrame:

@@ -50,21 +50,22 @@ def update(spark, tables, rows):
     return live.update(tables, observations(spark, *rows), SCALE)
 
 
-@pytest.mark.parametrize("by_hour", [True, False])
-def test_batches_end_where_a_full_run_does(spark, path, by_hour):
-    tables, rows = live.LiveTables(path("live"), by_hour), []
-    for seed in range(3):
+def test_batches_end_where_a_full_run_does(spark, path, monkeypatch):
+    """Replaced versions of the dimensions go, all but those that are kept for readers."""
+    monkeypatch.setattr(live, "KEPT_VERSIONS", 1)
+    tables, rows = tables_at(path), []
+    for seed in range(2):
         rows += random_rows(40, seed)
         assert update(spark, tables, [*rows[-40:], obs(place=None), obs(observed_at=None)])
         assert state(spark, tables) == full(spark, rows)
-    assert update(spark, tables, rows) == []
+    assert len([f for f in os.listdir(tables.dimensions) if f.startswith("run_id=")]) == 1
 
 
 def files(folder):
     return {os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns for d, _, names in os.walk(folder) for n in names if n.endswith(".parquet")}
 
 
-def test_an_update_of_one_hour_rewrites_that_hour(spark, path):
+def test_an_update_of_one_hour_reads_and_rewrites_that_hour(spark, path):
     tables, rows = tables_at(path), random_rows(60, 7)
     update(spark, tables, rows)
     before = {t: files(t) for t in (tables.silver, tables.fact)}
@@ -75,14 +76,14 @@ def test_an_update_of_one_hour_rewrites_that_hour(spark, path):
         assert changed and all(f"{day}/observation_hour=2/" in f for f in changed)
     assert state(spark, tables) == full(spark, [*rows, late])
 
+    plan = live._silver_at(spark, tables, [(at(0, day=28).date(), 2)])._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
+    assert "observed_date" in filters and "observation_hour" in filters
 
-def test_rows_that_change_nothing_rewrite_nothing(spark, path):
-    tables = tables_at(path)
-    first = obs(id="1", observed_at=at(1, 10), weather_code=1.0, weather_description="x")
-    update(spark, tables, [first])
-    before = files(tables.root)
-    assert update(spark, tables, [first, obs(id="2", observed_at=at(1, 20))]) == []
-    assert files(tables.root) == before
+    # Rows that are there already, and rows that do not survive, rewrite nothing.
+    there = files(tables.root)
+    assert update(spark, tables, [late, late | {"id": "00", "observed_at": at(2, 1, day=28)}]) == []
+    assert files(tables.root) == there
 
 
 def test_change_rows(spark):
@@ -92,41 +93,26 @@ def test_change_rows(spark):
     assert values(live.changes_between(old, new), "op", "id") == [("insert", "4"), ("insert", "6"), ("retract", "1")]
 
 
-def test_a_weather_goes_with_its_last_row(spark, path):
-    tables = tables_at(path)
-    rows = [
-        obs(id="1", observed_at=at(1, 30), weather_code=1.0, weather_description="x"),
-        obs(id="2", observed_at=at(2, 30), weather_code=1.0, weather_description="x"),
-        obs(id="3", observed_at=at(1, 20), weather_code=2.0, weather_description="y"),
-        obs(id="4", observed_at=at(2, 20), weather_code=2.0, weather_description="y"),
-    ]
-    for n, codes in ((1, [1.0]), (3, [1.0, 2.0]), (4, [2.0])):
-        update(spark, tables, rows[:n] if n > 1 else rows[:2])
-        assert [c for c, in values(live.read_dimensions(spark, tables)["dim_weather"], "weather_code")] == codes
-    assert state(spark, tables) == full(spark, rows)
-
-
-def test_a_place_falls_back_to_an_older_row(spark, path):
-    """The latest ingested row of a place goes for one that was ingested before; a third row is then the latest."""
-    tables = tables_at(path)
-    common = {"weather_code": 1.0, "weather_description": "x"}
+def test_what_a_retracted_row_held_goes_with_it(spark, path):
+    """A weather goes with its last row, not before. A place whose latest row goes for one that was ingested earlier falls
+    back to a third row."""
+    tables = live.LiveTables(path("live"), by_hour=False)
+    x, y = {"weather_code": 1.0, "weather_description": "x"}, {"weather_code": 2.0, "weather_description": "y"}
     rows = [
-        obs(id="1", observed_at=at(1, 30), ingested_at=at(12, 9), api_city="latest", **common),
-        obs(id="2", observed_at=at(2, 30), ingested_at=at(12, 5), api_city="middle", **common),
-        obs(id="3", observed_at=at(1, 10), ingested_at=at(12, 1), api_city="earlier", **common),
+        obs(id="1", observed_at=at(1, 30), ingested_at=at(12, 9), api_city="latest", **x),
+        obs(id="2", observed_at=at(2, 30), ingested_at=at(12, 5), api_city="middle", **x),
+        obs(id="3", observed_at=at(1, 10), ingested_at=at(12, 1), api_city="earlier", **y),
+        obs(id="4", observed_at=at(2, 10), ingested_at=at(12, 2), api_city="last", **y),
     ]
-    update(spark, tables, rows[:2])
-    assert values(live.read_dimensions(spark, tables)["dim_location"], "api_city") == [("latest",)]
-    update(spark, tables, rows[2:])
-    assert values(live.read_dimensions(spark, tables)["dim_location"], "api_city") == [("middle",)]
+    for part, city, codes in ((rows[:2], "latest", [1.0]), (rows[2:3], "middle", [1.0, 2.0]), (rows[3:], "last", [2.0])):
+        update(spark, tables, part)
+        dims = live.read_dimensions(spark, tables)
+        assert values(dims["dim_location"], "api_city") == [(city,)]
+        assert [c for c, in values(dims["dim_weather"], "weather_code")] == codes
     assert state(spark, tables) == full(spark, rows)
 
 
-class Died(Exception):
-    pass
-
-
-@pytest.mark.parametrize(("step", "call"), [("_stage_dimensions", 1), ("finish_replacement", 2), ("publish_run", 1)])
+@pytest.mark.parametrize(("step", "call"), [("finish_replacement", 2), ("publish_run", 1)])
 def test_a_run_that_died_is_taken_up(spark, path, monkeypatch, step, call):
     tables, rows = tables_at(path), random_rows(50, 3)
     update(spark, tables, rows[:25])
@@ -159,26 +145,27 @@ def damaged(spark, tables, change):
     pub.publish_run(spark, tables.dimensions, run_id)
 
 
-@pytest.mark.parametrize(("change", "message"), [
-    (lambda t: t.where("place <> 'B'"), "relationships fact_hourly_weather.location_key: 1"),
-    (lambda t: t.unionByName(t.where("place = 'B'")), "unique dim_location.location_key: 1; unique dim_location.place: 1"),
-])
-def test_hours_are_tested_against_stored_dimensions(spark, path, change, message):
+def test_hours_are_tested_against_stored_dimensions(spark, path):
     """The batch brings a row of one place; the other place of that hour is missing in the dimension, or there twice."""
     tables, common = tables_at(path), {"weather_code": 1.0, "weather_description": "x"}
     update(spark, tables, [obs(place=p, observed_at=at(1, 30), **common) for p in "AB"] + [obs(place="C", observed_at=at(5), **common)])
-    damaged(spark, tables, change)
-    before = state(spark, tables)
-    with pytest.raises(QualityError, match=message):
-        update(spark, tables, [obs(id="9", place="A", observed_at=at(1, 10), **common)])
-    assert state(spark, tables) == before and not path_exists(spark, tables.stage("changes"))
+    whole = live.stored_states(spark, tables)["dim_location"]
+    for change, message in (
+        (whole.where("place <> 'B'"), "relationships fact_hourly_weather.location_key: 1"),
+        (whole.unionByName(whole.where("place = 'B'")), "unique dim_location.location_key: 1; unique dim_location.place: 1"),
+    ):
+        damaged(spark, tables, lambda _, change=change: change)
+        before = state(spark, tables)
+        with pytest.raises(QualityError, match=message):
+            update(spark, tables, [obs(id="9", place="A", observed_at=at(1, 10), **common)])
+        assert state(spark, tables) == before and not path_exists(spark, tables.stage("changes"))
     # Hours in which that place does not occur are not held up.
     assert update(spark, tables, [obs(id="9", place="C", observed_at=at(5, 0, day=29), **common)])
 
 
 def test_stream(spark, path):
     rows = random_rows(60, 11)
-    stream = stream_of(spark, observations(spark, *rows), path("in"), files=3, per_trigger=1)
+    stream = stream_of(spark, observations(spark, *rows), path("in"), files=2, per_trigger=1)
     live.start_live(stream, tables_at(path), path("checkpoint"), SCALE).awaitTermination()
     assert state(spark, tables_at(path)) == full(spark, rows)
 
@@ -208,23 +195,6 @@ def test_merge_can_be_gated(spark, path):
     assert not path_exists(spark, path("silver"))
 
 
-def test_only_touched_hours_are_read(spark, path):
-    tables = tables_at(path)
-    update(spark, tables, random_rows(40, 5))
-    hours = [(at(0, day=28).date(), 1), (at(0, day=28).date(), 2)]
-    plan = live._silver_at(spark, tables, hours)._jdf.queryExecution().executedPlan().toString()
-    filters = plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
-    assert "observed_date" in filters and "observation_hour" in filters
-
-
-def test_versions_are_kept_for_readers(spark, path):
-    tables = tables_at(path)
-    for hour in range(6):
-        update(spark, tables, [obs(id=str(hour), observed_at=at(hour), weather_code=1.0, weather_description="x")])
-    versions = [f for f in os.listdir(tables.dimensions) if f.startswith("run_id=")]
-    assert len(versions) == live.KEPT_VERSIONS
-
-
 def test_stored_dimensions_of_nothing(spark, path):
     assert update(spark, tables_at(path), []) == []
     dims = live.read_dimensions(spark, tables_at(path))

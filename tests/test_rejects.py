@@ -50,7 +50,32 @@ def test_accepted_ones_are_the_plain_observations(spark, feed, plain, wrap):
     docs = [{"place_name": "A", "zone": 7, "lat": 9, "data": [GOOD | {"wind_gust_spd": 3}, {"ts": 6, "zone": None, "gust": 1}]}, *BODIES[:1], BODIES[-1]]
     landed = responses(spark, *docs)
     accepted = wrap(resp.classified(landed, feed), NOON).where("reason is null").drop("reason")
-    assert values(accepted) == values(wrap(plain(landed), NOON))
+    parsed = lambda df: sorted((r.observation_id or "", r.lat or 0, json.dumps(json.loads(r.raw_payload), sort_keys=True)) for r in df.collect())
+    assert parsed(accepted) == parsed(wrap(plain(landed), NOON))
+
+
+def test_payload_as_it_came(spark):
+    """Keys stay in their order and floats stay floats; the place name stands at the end, or where one was."""
+    elements = [
+        '{"z":21.0,"lat":1.0,"ts":5,"a":1.5,"text":"é \\"q\\" {","none":null,"big":12345678901234567890,"w":{"y":[1,2.0],"x":{}}}',
+        "{}",
+        '{"ts":5,"place_name":"theirs"}',
+        '{"ts":"5"}',
+    ]
+    landed = responses(spark, *['{"place_name":"Hà \\"N\\"","data":[%s]}' % e for e in elements], '{"data":[{"ts":1.0}]}')
+    got = [r.raw_payload for r in current_to_bronze(resp.classified(landed), NOON).collect()]
+    name = '"place_name":"Hà \\"N\\""'
+    assert got == [
+        elements[0][:-1] + f",{name}}}", f"{{{name}}}", f'{{"ts":5,{name}}}', f'{{"ts":"5",{name}}}', '{"ts":1.0,"place_name":null}'
+    ]
+
+
+def test_strings_that_look_like_objects_are_none(spark):
+    landed = responses(spark, '{"place_name":"A","data":["{\\"ts\\":1}", {"ts":2}, " {"]}')
+    found = resp.classified(landed)
+    assert values(found, "payload", "rejected") == sorted(
+        [('{"ts":2,"place_name":"A"}', None), (None, '"{\\"ts\\":1}"'), (None, '" {"')], key=repr
+    )
 
 
 def test_bronze_keeps_rejects_apart(spark, path):
@@ -122,6 +147,13 @@ def test_one_scan_gives_both(spark, path):
     assert plan.count("Relation ") == 1 and plan.count("from_json") == 1
 
 
+def test_sound_documents_are_parsed_once(spark, path):
+    landed = responses(spark, *BODIES)
+    landed.select("body").write.text(path("landing"))
+    plan = resp.classified(resp.read_responses(spark, path("landing")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan and "CASE WHEN doubtful" in plan
+
+
 def test_published_versions_are_dropped_by_age(spark, path):
     import datetime as dt
 

@@ -174,16 +174,17 @@ def observation_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both feeds in one table; the payload as its two keys that tell the rows apart."""
-    current = resp.current_observations(proxy.responses(spark, sf_dir))
+    """Both feeds in one table; of the current feed the payload byte by byte, of both the keys that tell rows apart."""
+    current = resp.classified(proxy.responses(spark, sf_dir)).drop("rejected", "reason")
     history = resp.harmonise_history(resp.current_observations(proxy.responses(spark, sf_dir)))
     both = bz.union_feeds(
         bz.current_to_bronze(current, proxy.BATCH_TIME), bz.history_to_bronze(history, proxy.BATCH_TIME)
     )
     p = F.from_json("raw_payload", "place_name string, ts bigint")
+    payload = F.when(F.col("source") == bz.CURRENT_SOURCE, F.col("raw_payload"))
     return both.select(
         "observation_id", "source", "lat", "lon", "_ingested_at", "ingest_date", p["place_name"].alias("place_name"),
-        p["ts"].alias("ts"),
+        p["ts"].alias("ts"), payload.alias("raw_payload"),
     )
 
 
@@ -192,13 +193,13 @@ def bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = bz.current_to_bronze(resp.current_observations(proxy.responses(spark, sf_dir)), proxy.BATCH_TIME)
+    bronze = bz.current_to_bronze(resp.classified(proxy.responses(spark, sf_dir)), proxy.BATCH_TIME)
     return sv.observations(bronze)
 
 
 @query
 def silver_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = bz.current_to_bronze(resp.current_observations(proxy.responses(spark, sf_dir)), proxy.BATCH_TIME)
+    bronze = bz.current_to_bronze(resp.classified(proxy.responses(spark, sf_dir)), proxy.BATCH_TIME)
     return sv.bronze_to_silver(bronze)
 
 
