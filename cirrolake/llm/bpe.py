@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark import Broadcast
@@ -27,6 +29,40 @@ REMEMBERED = 400_000
 LONG_TEXT = 1 << 20
 
 
+#: Texts of code points below this are split by the standard library's engine, which is faster: with the pattern's classes
+#: spelled out it finds the same matches.
+PLAIN_BELOW = 0x250
+NOT_PLAIN = re.compile(f"[^\\x00-{chr(PLAIN_BELOW - 1)}]")
+
+
+def plain_pattern(pattern: str) -> re.Pattern | None:
+    """The pattern with its classes of letters, numbers and white space as ranges of code points below PLAIN_BELOW.
+
+    None if it holds any other class or escape, which the two engines might read differently.
+    """
+
+    def ranges(kind: str) -> str:
+        has = [bool(regex.fullmatch(kind, chr(c))) for c in range(PLAIN_BELOW)]
+        starts = [c for c in range(PLAIN_BELOW) if has[c] and not (c and has[c - 1])]
+        ends = [c for c in range(PLAIN_BELOW) if has[c] and not (c + 1 < PLAIN_BELOW and has[c + 1])]
+        return "".join(f"\\u{low:04x}-\\u{high:04x}" for low, high in zip(starts, ends))
+
+    found, inside, at = [], False, 0
+    while at < len(pattern):
+        kind = next((k for k in (r"\p{L}", r"\p{N}", r"\s", r"\S") if pattern.startswith(k, at)), None)
+        if kind == r"\S" and inside or kind is None and pattern[at] == "\\" or pattern[at : at + 2] == "(?" and pattern[at + 2] not in "!=:":
+            return None
+        if kind is None:
+            inside = {"[": True, "]": False}.get(pattern[at], inside)
+            found.append(pattern[at])
+            at += 1
+        else:
+            members = ranges(kind.replace("S", "s"))
+            found.append(members if inside else f"[{'^' if kind == r'\S' else ''}{members}]")
+            at += len(kind)
+    return re.compile("".join(found))
+
+
 def read_ranks(path: str) -> list[bytes]:
     """The entries of a rank file in the order of their ranks, which are 0 to n - 1."""
     with open(path, "rb") as file:
@@ -104,7 +140,8 @@ class Codec:
     def _prepare(self) -> None:
         rank = {token: number for number, token in enumerate(self.tokens)}
         self.single = [rank.get(bytes([b]), -1) for b in range(256)]
-        self.split = regex.compile(self.pattern)
+        self.split, self.plain_split = regex.compile(self.pattern), plain_pattern(self.pattern)
+        self.table = pa.array(self.tokens, pa.large_binary())
         self.remembered: dict[str, bytes] = {}
         self.merges = {
             rank[token[:at]] << 20 | rank[token[at:]]: number
@@ -154,15 +191,23 @@ class Codec:
         """The ids of a text as 32-bit integers."""
         if self.merges is None:
             self._prepare()
+        plain = self.plain_split is not None and NOT_PLAIN.search(text) is None
+        split = self.plain_split if plain else self.split
         if len(text) < LONG_TEXT:
-            found: Iterable[str] = self.split.findall(text)
+            found: Iterable[str] = split.findall(text)
         else:
-            found = (match[0] for match in self.split.finditer(text))
+            found = (match[0] for match in split.finditer(text))
         get, look_up = self.remembered.get, self._look_up
         return b"".join([get(piece) or look_up(piece) for piece in found])
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids; a null list has none."""
+        if self.merges is None:
+            self._prepare()
+        bounds = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())))
+        bytes_of = self.table.take(ids.flatten())
+        ends = np.frombuffer(bytes_of.buffers()[1], np.int64, len(bytes_of) + 1)[bounds]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends), bytes_of.buffers()[2]]).cast(pa.binary())
 
 
 def shared_codec(spark: SparkSession, path: str, pattern: str) -> Broadcast:
@@ -190,8 +235,7 @@ def decode(encoded: DataFrame, codec: Broadcast, doc_id: str = "doc_id", ids: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            found = [codec.value.decode(x or []) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "decoded"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), codec.value.decode(batch.column("ids"))], ["doc_id", "decoded"])
 
     chosen = encoded.selectExpr(f"`{doc_id}` AS doc_id", f"`{ids}` AS ids")
     return chosen.mapInArrow(run, "doc_id bigint, decoded binary")
@@ -205,9 +249,7 @@ def round_trip(docs: DataFrame, codec: Broadcast, doc_id: str = "doc_id", text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            ids = [codec.value.encode(t) for t in batch.column("text").to_pylist()]
-            decoded = [codec.value.decode(np.frombuffer(x, "<i4").tolist()) for x in ids]
-            columns = [batch.column("doc_id"), _lists(ids), pa.array(decoded, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+            ids = _lists([codec.value.encode(t) for t in batch.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, codec.value.decode(ids)], ["doc_id", "ids", "decoded"])
 
     return keyed_texts(docs, doc_id, text).mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")

@@ -46,6 +46,27 @@ def test_no_rows(spark, codec):
     assert bpe.round_trip(spark.createDataFrame([], SCHEMA), codec).collect() == []
 
 
+def test_both_engines_split_alike():
+    import regex
+
+    plain, full = bpe.plain_pattern(P.PATTERN), regex.compile(P.PATTERN)
+    rng = random.Random(9)
+    letters = [chr(c) for c in range(bpe.PLAIN_BELOW)]
+    common = list("aé ß1²'  \n\t\x85\xa0\x1c.,stremvld")
+    for n in range(3000):
+        text = "".join(rng.choice(letters if rng.random() < 0.3 else common) for _ in range(rng.randrange(40)))
+        assert plain.findall(text) == full.findall(text)
+    every = " ".join(letters) + "".join(letters)
+    assert plain.findall(every) == full.findall(every)
+    assert bpe.plain_pattern(r"\w+") is None and bpe.plain_pattern(r"(?i)a") is None and bpe.plain_pattern(r"[\S]") is None
+
+
+def test_null_lists_decode_to_nothing(spark, codec, library):
+    df = spark.createDataFrame([(1, None), (2, []), (3, library.encode_ordinary("à la")), (4, None)], "doc_id bigint, ids array<int>")
+    got = {r.doc_id: bytes(r.decoded) for r in bpe.decode(df.coalesce(1), codec).collect()}
+    assert got == {1: b"", 2: b"", 3: "à la".encode(), 4: b""}
+
+
 def test_perfect_hash_is_minimal():
     tokens = bpe.read_ranks(PATH)
     table = bpe.PerfectHash(tokens)
