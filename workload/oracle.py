@@ -70,9 +70,21 @@ PAYLOAD_KEYS = {
 }
 
 
+def written(x: str) -> str:
+    """A double as the landed documents write it: below a thousandth as digits and a power of ten."""
+    text, digits = f"CAST(abs({x}) AS VARCHAR)", f"ltrim(replace(CAST(abs({x}) AS VARCHAR), '0.', ''), '0')"
+    power = f"length({text}) - 1 - length({digits})"
+    plain = f"{digits}[1] || '.' || CASE WHEN length({digits}) > 1 THEN {digits}[2:] ELSE '0' END || 'E-' || ({power})"
+    whole = f"CASE WHEN contains({text}, '.') THEN '' ELSE '.0' END"
+    short = f"split_part({text}, 'e', 1) || {whole} || 'E-' || CAST(split_part({text}, 'e-', 2) AS INTEGER)"
+    small = f"CASE WHEN {x} < 0 THEN '-' ELSE '' END || CASE WHEN contains({text}, 'e') THEN {short} ELSE {plain} END"
+    return f"CASE WHEN {x} = 0 OR abs({x}) >= 0.001 THEN CAST({x} AS VARCHAR) ELSE {small} END"
+
+
 def member(key: str, column: str) -> str:
-    quote = '"' if column in ("api_city", "country") else ""
-    return f"""'"{key}":{quote}' || CAST({column} AS VARCHAR) || '{quote}'"""
+    if column in ("api_city", "country"):
+        return f"""'"{key}":"' || {column} || '"'"""
+    return f"""'"{key}":' || {written(column)}"""
 
 
 PAYLOAD_TEXT = f"""'{{' || concat_ws(',', '"ts":' || {EPOCH}, {', '.join(member(k, c) for k, c in PAYLOAD_KEYS.items())},
