@@ -118,20 +118,30 @@ def current_extremes(silver: DataFrame) -> DataFrame:
     return picked.select(F.inline(rows))
 
 
+def hour_words(silver: DataFrame) -> DataFrame:
+    """(place, block, word, low, high): the hours of each place as bits, 64 hours since 1970 a word, and their ends.
+
+    Words of tasks, batches or dates unite by OR, so a row that occurs again changes nothing, and one number travels
+    where a place has up to 64 hours.
+    """
+    number = F.floor(F.unix_seconds("observed_at") / 3600)
+    hours = silver.where("observed_at is not null").select("place", number.alias("n"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("n").bitwiseAND(F.lit(63)).cast("int"))
+    words = hours.groupBy("place", F.shiftright("n", 6).alias("block"))
+    return words.agg(F.bit_or(bit).alias("word"), F.min("n").alias("low"), F.max("n").alias("high"))
+
+
 def coverage(silver: DataFrame, locations: DataFrame) -> DataFrame:
     """Per listed place the hours with data, the hours expected between the first and last hour seen, and the ratio.
 
-    A place without data is listed with zero hours.
+    A place without data is listed with zero hours. Repeated rows count once.
     """
-    hour = hour_bucket(F.col("observed_at"))
-    span = silver.agg(
-        ((F.unix_seconds(F.max(hour)) - F.unix_seconds(F.min(hour))) / 3600 + 1).cast("bigint").alias("expected")
-    )
-    # Distinct hours are formed before counting, so Silver and un-deduplicated input give the same.
-    seen = silver.select("place", hour.alias("hour")).distinct().groupBy("place").agg(F.count("hour").alias("hours"))
+    seen = hour_words(silver).groupBy("place")
+    seen = seen.agg(F.sum(F.bit_count("word")).alias("hours"), F.min("low").alias("low"), F.max("high").alias("high"))
+    span = seen.agg((F.max("high") - F.min("low") + 1).cast("bigint").alias("expected"))
     listed = locations.select(F.col("name").alias("place"))
     return (
-        listed.join(seen, "place", "left")
+        listed.join(seen.select("place", "hours"), "place", "left")
         .select("place", F.coalesce("hours", F.lit(0)).cast("bigint").alias("hours"), span.scalar().alias("expected"))
         .withColumn("ratio", F.col("hours") / F.nullif(F.col("expected"), F.lit(0)))
     )
@@ -141,21 +151,26 @@ def missing_spans(silver: DataFrame, locations: DataFrame) -> DataFrame:
     """(place, start, end, hours): the runs of hours that each listed place lacks, from the first to the last hour seen.
 
     A run lies between two neighbouring hours of a place, the hour before the first and the one after the last among
-    them. Hours are made distinct first, so a place has at most one row for each hour of the calendar.
+    them. Hours travel as words of bits and become rows where a place's words have met, so a place has at most one row
+    for each hour of the calendar.
     """
-    hour, step = hour_bucket(F.col("observed_at")), F.expr("INTERVAL 1 HOUR")
-    bounds = silver.agg(F.min(hour).alias("low"), F.max(hour).alias("high"))
-    edges = F.array(bounds.select("low").scalar() - step, bounds.select("high").scalar() + step)
+    words = hour_words(silver)
+    bounds = words.agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    edges = F.array(bounds.select("low").scalar() - 1, bounds.select("high").scalar() + 1)
     listed = locations.select(F.col("name").alias("place")).distinct()
-    borders = listed.select("place", F.explode(edges).alias("hour"))
-    seen = silver.select("place", hour.alias("hour")).distinct().join(listed, "place", "left_semi")
-    after = F.lead("hour").over(Window.partitionBy("place").orderBy("hour"))
-    gaps = seen.unionByName(borders).withColumn("after", after).where(F.col("after") > F.col("hour") + step)
+    # A word of the border hours has two numbers, a word of data its 64 bits: both open into numbers of hours.
+    borders = listed.select("place", edges.alias("numbers"))
+    set_bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("word", i) == 1)
+    numbers = F.transform(set_bits, lambda i: F.col("block") * 64 + i)
+    seen = words.join(listed, "place", "left_semi").select("place", numbers.alias("numbers"))
+    met = seen.unionByName(borders).repartition("place").select("place", F.explode("numbers").alias("n"))
+    after = F.lead("n").over(Window.partitionBy("place").orderBy("n"))
+    gaps = met.withColumn("after", after).where("after > n + 1")
     return gaps.select(
         "place",
-        (F.col("hour") + step).alias("start"),
-        (F.col("after") - step).alias("end"),
-        ((F.unix_seconds("after") - F.unix_seconds("hour")) / 3600 - 1).cast("bigint").alias("hours"),
+        F.timestamp_seconds((F.col("n") + 1) * 3600).alias("start"),
+        F.timestamp_seconds((F.col("after") - 1) * 3600).alias("end"),
+        (F.col("after") - F.col("n") - 1).cast("bigint").alias("hours"),
     )
 
 

@@ -80,6 +80,40 @@ def test_coverage(spark):
     assert values(missing.select("place", F.hour("hour"))) == [("B", 1), ("B", 2), ("C", 0), ("C", 1), ("C", 2), ("C", 3)]
 
 
+def test_hours_as_bits(spark):
+    """Random hours around 1970, over borders of words, repeated; words of parts unite to those of the whole."""
+    rng = random.Random(5)
+    start = dt.datetime(1969, 12, 20, tzinfo=dt.UTC)
+    picked = {p: sorted(rng.sample(range(700), n)) for p, n in (("A", 650), ("B", 40), ("C", 1))}
+    rows = [
+        obs(place=p, observed_at=start + dt.timedelta(hours=h, minutes=rng.randrange(60)))
+        for p, hours in picked.items() for h in hours for _ in range(rng.choice([1, 1, 3]))
+    ]
+    s = observations(spark, *rows).repartition(6)
+    places = spark.createDataFrame([(p,) for p in "ABCD"], "name string")
+    low, high = min(min(h) for h in picked.values()), max(max(h) for h in picked.values())
+    assert values(questions.coverage(s, places)) == [
+        (p, len(picked.get(p, [])), high - low + 1, len(picked.get(p, [])) / (high - low + 1)) for p in "ABCD"
+    ]
+    missing = questions.missing_hours(s, places).select("place", F.unix_seconds("hour")).collect()
+    first = int(start.timestamp()) // 3600
+    expected = [(p, (first + h) * 3600) for p in "ABCD" for h in range(low, high + 1) if h not in picked.get(p, [])]
+    assert sorted(map(tuple, missing)) == expected
+    whole = questions.hour_words(s)
+    parts = questions.hour_words(s.where("place = 'A'")).unionByName(questions.hour_words(s))
+    united = parts.groupBy("place", "block").agg(F.bit_or("word").alias("word"))
+    assert values(united) == values(whole.select("place", "block", "word"))
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_coverage_of_nothing(spark):
+    s = silver(spark, obs(place="A")).where("place = 'none'")
+    places = spark.createDataFrame([("A",)], "name string")
+    assert values(questions.coverage(s, places)) == [("A", 0, None, None)]
+    assert questions.missing_hours(s, places).collect() == []
+
+
 def test_frequency(spark):
     s = silver(spark, *[obs(place=p, weather_code=1.0, weather_description=d) for p, d in zip("ABCD", ["x", "x", "x", "y"])])
     assert values(questions.condition_frequency(gold_tables(s))) == [("x", 3, 0.75), ("y", 1, 0.25)]
