@@ -1,16 +1,18 @@
 """License scans by conditional compression.
 
 A quotation compresses to much less when zstandard may refer to the license it quotes. Texts that speak of licenses are
-searched whole, however their lines are wrapped: runs of words that a template shares lead to the stretch that may quote
-it, its words are laid beside the template's, the exact differences named, and the quotation is compressed alone and
-with the template as a raw dictionary. Of quotations that overlap, the one that fits most words stays. Rows are
-independent, so nothing is shuffled; the templates, a stated few, travel with the code.
+searched whole, however their lines are wrapped: runs of words that any template holds lead to the candidate blocks. Each
+block is compressed alone and with every template as a raw dictionary, the templates are ranked by the bytes they save,
+and the best one whose wording is confirmed, its words laid beside the block's and the exact differences named, wins the
+block. Of quotations that overlap, the one on which its template saves most bytes stays. Rows are independent, so
+nothing is shuffled; the templates, a stated few, travel with the code.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from itertools import islice
@@ -82,6 +84,15 @@ TEMPLATES = {
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
@@ -90,7 +101,7 @@ TEMPLATES = {
 }
 
 #: Words by which a text is a candidate; every template holds one of them.
-HINT = re.compile(r"licen[cs]e|copyright|permission|redistribut|free\s+software|reserved|creative\s+commons|mozilla|cc\s+by", re.I)
+HINT = re.compile(r"licen[cs]e|copyright|permission|redistribut|free\s+software|unencumbered\s+software|reserved|creative\s+commons|mozilla|cc\s+by", re.I)
 WORD = re.compile(r"[\w.+-]+")
 #: One of so many words of a template may be missing or of a quotation be added; share of its size that a template saves.
 WORDS_A_SLIP, SAVED = 20, 0.3
@@ -104,6 +115,8 @@ NUMBER = re.compile(r"\d+(\.\d+)*")
 SEED = 5
 #: Words that are scanned at a time; parts overlap by the longest template with its slips.
 PART = 20_000
+#: Blocks whose winner a worker remembers; none is longer than the longest template with its slips.
+KNOWN_BLOCKS = 20_000
 
 
 def words(text: str) -> list[str]:
@@ -139,12 +152,22 @@ class Scanner:
             width = min(SEED, len(expected))
             for at in range(len(expected) - width + 1 if width else 0):
                 self.seeds.setdefault(width, {}).setdefault(tuple(expected[at : at + width]), []).append((name, at))
+        self.bags = {name: Counter(w) for name, w in self.words.items()}
         self.known: dict[tuple, tuple | None] = {}
 
-    def saved(self, name: str, found: list[str]) -> float:
-        """The share of the compressed size of a quotation that the template saves."""
+    def reductions(self, block: list[str]) -> tuple[int, list[tuple[int, str]]]:
+        """(compressed size of a block, [(bytes that a template saves on it, template)]), most bytes first, then by name."""
+        raw = " ".join(block).encode()
+        alone = len(self.plain.compress(raw))
+        every = ((alone - len(primed.compress(raw)), name) for name, primed in self.primed.items())
+        return alone, sorted(every, key=lambda x: (-x[0], x[1]))
+
+    def saved(self, name: str, found: list[str]) -> tuple[int, float]:
+        """Bytes, and the share of the compressed size of a quotation, that the template saves."""
         raw = " ".join(found).encode()
-        return 1 - len(self.primed[name].compress(raw)) / len(self.plain.compress(raw))
+        alone = len(self.plain.compress(raw))
+        less = alone - len(self.primed[name].compress(raw))
+        return less, less / alone
 
     def decides(self, name: str, word: str) -> bool:
         return word in DECIDING or (name in self.numbered and bool(NUMBER.fullmatch(word)))
@@ -164,8 +187,9 @@ class Scanner:
         fit = sum(m.size for m in same)
         return fit / len(expected), start, end, fit, said
 
-    def stretches(self, found: list[str]) -> Iterator[tuple[str, int, int]]:
-        """(template, first word, end) of each stretch of `found` in which as many seeds lie as a quotation has at least."""
+    def blocks(self, found: list[str]) -> set[tuple[int, int]]:
+        """(first word, end) of each stretch of `found` in which as many seeds lie as a quotation of their template has."""
+        stretches = set()
         begins: dict[str, list[int]] = {}
         for width, seeds in self.seeds.items():
             for at in range(len(found) - width + 1):
@@ -182,18 +206,32 @@ class Scanner:
                 while at[low] < begin - 2 * slips:
                     low += 1
                 if high - low + 1 >= least and (done is None or at[low] > done):
-                    yield name, max(0, at[low] - slips), at[low] + expected + 3 * slips
+                    stretches.add((max(0, at[low] - slips), min(len(found), at[low] + expected + 3 * slips)))
                     done = at[low] + 2 * slips
+        return stretches
 
     def confirmed(self, name: str, found: list[str]) -> tuple | None:
-        """(words that fit, covered, saved, first word, end, differences) if a stretch quotes a template with few slips."""
+        """(bytes saved, covered, share saved, first word, end, differences) if a block quotes a template with few slips."""
+        expected = self.words[name]
+        if (self.bags[name] & Counter(found)).total() < len(expected) - self.slips[name]:
+            return None
         covered, start, end, fit, said = self.differences(name, found)
-        if len(self.words[name]) - fit > self.slips[name] or end - start - fit > self.slips[name]:
+        if len(expected) - fit > self.slips[name] or end - start - fit > self.slips[name]:
             return None
         if any(self.decides(name, w.lstrip("-+")) for x in said if x not in SAME_WORK for w in x.split()):
             return None
-        share = self.saved(name, found[start:end])
-        return (fit, covered, share, start, end, said) if share >= SAVED else None
+        less, share = self.saved(name, found[start:end])
+        return (less, covered, share, start, end, said) if share >= SAVED else None
+
+    def winner(self, block: list[str]) -> tuple | None:
+        """(template, *confirmed) of the template that saves most on a block among those its wording confirms."""
+        _, ranked = self.reductions(block)
+        for less, name in ranked:
+            if less <= 0:
+                return None
+            if row := self.confirmed(name, block):
+                return (name, *row)
+        return None
 
     def parts(self, text: str) -> Iterator[tuple[int, list[str], list[int]]]:
         """(number of the first word, words, where they begin) of each part of a text; parts overlap by a template."""
@@ -216,20 +254,20 @@ class Scanner:
             return []
         quoted = {}
         for first, found, places in self.parts(text):
-            for name, low, high in self.stretches(found):
-                part = tuple(found[low:high])
-                if (name, part) not in self.known:
-                    if len(self.known) > 20_000:
+            for low, high in self.blocks(found):
+                block = tuple(found[low:high])
+                if block not in self.known:
+                    if len(self.known) > KNOWN_BLOCKS:
                         self.known.clear()
-                    self.known[name, part] = self.confirmed(name, list(part))
-                if row := self.known[name, part]:
-                    fit, covered, share, start, end, said = row
+                    self.known[block] = self.winner(list(block))
+                if row := self.known[block]:
+                    name, less, covered, share, start, end, said = row
                     # The overlap of two parts gives a quotation twice, once perhaps cut: the fuller one stays.
-                    order = (-fit, -covered, -share, name, first + low + start, first + low + end)
+                    order = (-less, -covered, -share, name, first + low + start, first + low + end)
                     quoted[order] = (places[low + start], said)
         result, starts, ends = [], [], []
         for order in sorted(quoted):
-            fit, covered, share, name, start, end = order
+            _, covered, share, name, start, end = order
             near = bisect(starts, start)
             if (near == 0 or ends[near - 1] <= start) and (near == len(starts) or end <= starts[near]):
                 starts.insert(near, start)
@@ -248,7 +286,9 @@ def scanned(docs: DataFrame, templates: dict[str, str] | None = None, doc_id: st
 
     line is where the quotation begins, from 0; saved the share of its compressed size that the template saves;
     covered the share of the template's words found in order; differences the words that are missing (-) or added (+).
-    Null and empty texts quote none. Repeated rows give repeated results.
+    Null and empty texts quote none. Repeated rows give repeated results, an empty table none. Templates that save
+    equally much on a block rank by name; of overlapping quotations on which equally much is saved the better covered
+    stays, then the first by name and place. Other columns of `docs` can have any name.
     """
     chosen = templates or TEMPLATES
 

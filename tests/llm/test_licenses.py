@@ -84,3 +84,47 @@ def test_siblings_have_their_own_names():
     assert names(licenses.BSD) == []
     listed = bsd3.replace("Redistributions of", "1. Redistributions of").replace("Redistributions in", "2. Redistributions in")
     assert names(listed.replace("Neither the name of the copyright holder", "3. Neither the name of Example Inc.")) == ["BSD-3-Clause"]
+
+
+def test_every_template_is_compressed_and_ranked():
+    """On its own notice each template saves most, also among siblings that differ in a word or hold the whole text."""
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, notice in licenses.TEMPLATES.items():
+        alone, ranked = scanner.reductions(licenses.words(notice))
+        assert {n for _, n in ranked} == set(licenses.TEMPLATES) and alone > 0
+        best = [n for less, n in ranked if less == ranked[0][0]]
+        assert name in best, (name, ranked[:3])
+    assert [less for less, _ in ranked] == sorted((less for less, _ in ranked), reverse=True)
+
+
+def test_compression_decides(monkeypatch):
+    """A block that two templates' wording confirms goes to the one that saves more; without compression it would not."""
+    header = licenses.TEMPLATES["Apache-2.0-header"]
+    assert names(header) == ["Apache-2.0-header"]
+    monkeypatch.setattr(licenses.Scanner, "reductions", lambda self, block: (1, [(1, n) for n in sorted(self.words)]))
+    monkeypatch.setattr(licenses.Scanner, "saved", lambda self, name, found: (1, 1.0))
+    assert names(header) != ["Apache-2.0-header"]
+
+
+def test_ties_go_by_name():
+    twins = {"b": licenses.TEMPLATES["ISC"], "a": licenses.TEMPLATES["ISC"]}
+    assert [row[1] for row in licenses.Scanner(twins).of(licenses.TEMPLATES["ISC"])] == ["a"]
+
+
+def test_random_slips_against_all_templates():
+    """With a word replaced or added at random places, winner and differences are those of a plain search of all templates."""
+    import random
+
+    rng, scanner = random.Random(4), licenses.Scanner(licenses.TEMPLATES)
+    for name, notice in licenses.TEMPLATES.items():
+        expected = licenses.words(notice)
+        for _ in range(6):
+            found = list(expected)
+            for _ in range(rng.randrange(scanner.slips[name] + 1)):
+                found.insert(rng.randrange(1, len(found)), "zebra")
+            text = " ".join(["words", "before", *found, "words", "after", "license"])
+            every = [n for n in licenses.TEMPLATES if scanner.confirmed(n, licenses.words(text))]
+            got = scanner.of(text)
+            assert [row[1] for row in got] == [name] and name in every
+            assert " ".join(got[0][4]).count("+zebra") <= found.count("zebra")
+            assert sum(x.count("zebra") for x in got[0][4]) == found.count("zebra")
