@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cirrolake.functions.calendar import hour_bucket
 from cirrolake.functions.measures import mean
 from cirrolake.operators.dedupe import first_per_key, total_order
 from cirrolake.plans.dashboard import Gold
