@@ -33,6 +33,14 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
+def unused(taken: list[str], name: str) -> str:
+    """`name`, with underscores behind it until no column of `taken` has it, in small letters or large."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def as_bytes(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """A string column in UTF-8; nulls are empty."""
     return [value or b"" for value in batch.column(column).cast(pa.binary()).to_pylist()]

@@ -2,10 +2,15 @@
 
 Only lines with words count. A window is the shortest run of lines from a line on that holds `least` words, so any
 repeated passage of `least` words holds a whole window, and a single line of that length is one. The line with the
-smallest hash of each window is its fingerprint, a position that equal passages share. Fingerprints are joined on the
-digest of their window to the window's first position in the corpus, by doc_id and then by place; from there the match
-is extended both ways while lines agree, and the run is deleted where it occurs later. As a deleted line always has an
-earlier equal one, the first occurrence of every line stays.
+smallest hash of each window is its fingerprint, a position that equal passages share; neighbouring windows mostly
+share it too, so there are far fewer fingerprints than lines. Fingerprints are joined on the hash of their line to its
+first position in the corpus, by doc_id and then by place; from there the match is extended both ways while lines agree,
+and where it holds a whole window of the fingerprint the run is deleted. As a deleted line always has an earlier equal
+one, the first occurrence of every line stays.
+
+The first position of a line may stand in other company than a later one. Windows that do not agree with it meet a
+second time, by the digest of all their lines. All copies of a window agree or disagree with the same first position,
+so the two steps find the first copy of every window.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cirrolake.llm.common import as_bytes, keyed_texts, pieces, text_key, written
+from cirrolake.llm.common import as_bytes, keyed_texts, pieces, text_key, unused, written
 
 LEAST_WORDS = 50
 #: A null doc_id counts as this one, the smallest.
@@ -47,74 +52,148 @@ def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return chosen.mapInArrow(run, schema).where("n > 0").dropDuplicates(["id", "key"])
 
 
-def windows_of(hashes: np.ndarray, words: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """(digest, place of the smallest hash, the first of equal ones) of every window."""
+def windows_of(hashes: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(end, place of the smallest hash, the first of equal ones) of the window from each line on that has one."""
     total = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
     ends = np.searchsorted(total, total[:-1] + least)
-    found = []
+    ends = ends[ends < len(total)]
+    places, known = np.zeros(len(ends), np.int64), -1
     for start, end in enumerate(ends.tolist()):
-        if end >= len(total):
-            break
-        inside = hashes[start:end]
-        digest = xxhash.xxh64_intdigest(inside.tobytes())
-        found.append((digest, start + int(np.argmin(inside))))
-    return found
+        # Windows move ahead at both ends: while the last minimum is inside, only new lines can be below it.
+        if known < start:
+            known, seen = start + int(np.argmin(hashes[start:end])), end
+        elif end > seen:
+            new = seen + int(np.argmin(hashes[seen:end]))
+            known, seen = (new if hashes[new] < hashes[known] else known), end
+        places[start] = known
+    return ends, places
 
 
 def fingerprints(lines: DataFrame, least: int) -> DataFrame:
-    """(digest, id, key, n, pos): the fingerprints of every document."""
+    """(hash, id, key, n, pos, low, high): the selected minima of every document and the first and last line at which a
+    window with that minimum starts. Windows with one minimum start in a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            found = [
-                windows_of(np.frombuffer(h, np.uint64), np.frombuffer(w, np.int32), least)
-                for h, w in zip(batch.column("hashes").to_pylist(), batch.column("words").to_pylist())
-            ]
-            row = np.repeat(np.arange(len(found)), [len(x) for x in found])
-            flat = np.array([y for x in found for y in x], np.uint64).reshape(-1, 2).view(np.int64)
-            arrays = [pa.array(flat[:, 0]), *(batch.column(c).take(pa.array(row)) for c in ("id", "key", "n"))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(flat[:, 1].astype(np.int32))], ["digest", "id", "key", "n", "pos"])
+            row, columns = [], ([], [], [], [])
+            for at, (h, w) in enumerate(zip(batch.column("hashes").to_pylist(), batch.column("words").to_pylist())):
+                hashes = np.frombuffer(h, np.uint64)
+                _, places = windows_of(hashes, np.frombuffer(w, np.int32), least)
+                chosen, low, many = np.unique(places, return_index=True, return_counts=True)
+                row.append(np.full(len(chosen), at))
+                for column, values in zip(columns, (hashes[chosen].view(np.int64), chosen, low, low + many - 1)):
+                    column.append(values)
+            at = pa.array(np.concatenate(row))
+            digest, *numbers = (np.concatenate(c) for c in columns)
+            arrays = [pa.array(digest), *(batch.column(c).take(at) for c in ("id", "key", "n"))]
+            arrays += [pa.array(c.astype(np.int32)) for c in numbers]
+            yield pa.RecordBatch.from_arrays(arrays, ["hash", "id", "key", "n", "pos", "low", "high"])
 
     chosen = lines.select("id", "key", "n", "hashes", "words")
-    return chosen.mapInArrow(run, "digest bigint, id bigint, key bigint, n int, pos int").dropDuplicates(["digest", "id", "key", "pos"])
+    return chosen.mapInArrow(run, "hash bigint, id bigint, key bigint, n int, pos int, low int, high int")
 
 
-def repeated_runs(lines: DataFrame, least: int) -> DataFrame:
-    """(id, key, start, end): runs of lines, by their places in the text, that occur earlier in the corpus."""
-    prints = written(fingerprints(lines, least), "line-prints")
-    first = prints.groupBy("digest").agg(F.min(F.struct("id", "key", "pos")).alias("first"), F.count("*").alias("copies"))
-    later = prints.join(first.where("copies > 1").select("digest", "first"), "digest")
+def agreement(own: np.ndarray, other: np.ndarray, at: np.ndarray, opposite: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For places `at` of `own` opposite to those of `other`: first line and end, in `own`, of the run that agrees there.
+
+    Sums of lines times powers of an odd number tell whether two stretches are equal, so all runs are found together by
+    halving, whatever their length and number.
+    """
+    power = np.cumprod(np.full(max(len(own), len(other)) + 1, 0x9E3779B97F4A7C15, np.uint64))
+    sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(x * power[: len(x)], dtype=np.uint64))) for x in (own, other)]
+
+    def equal(begin: np.ndarray, begin0: np.ndarray, size: np.ndarray) -> np.ndarray:
+        one, two = sums[0][begin + size] - sums[0][begin], sums[1][begin0 + size] - sums[1][begin0]
+        return one * power[begin0] == two * power[begin]
+
+    def longest(most: np.ndarray, same) -> np.ndarray:
+        low, high = np.zeros_like(most), most.copy()
+        while (low < high).any():
+            middle = (low + high + 1) // 2
+            fits = same(middle)
+            low, high = np.where(fits, middle, low), np.where(fits, high, middle - 1)
+        return low
+
+    ahead = longest(np.minimum(len(own) - at, len(other) - opposite), lambda size: equal(at, opposite, size))
+    back = longest(np.minimum(at, opposite), lambda size: equal(at - size, opposite - size, size))
+    return at - back, at + ahead
+
+
+def _opposite_first(prints: DataFrame, by: str, lines: DataFrame) -> DataFrame:
+    """One row for each document and each other (or itself) that holds the first of its fingerprints: their places with
+    those opposite (struct pos, low, high, pos0), the lines, and of the other one's lines those that can lie opposite."""
+    first = prints.groupBy(by).agg(F.min(F.struct("id", "key", "pos")).alias("first"), F.count("*").alias("copies"))
+    later = prints.join(first.where("copies > 1").select(by, "first"), by)
     later = later.where("struct(id, key, pos) <> first").select(
-        "id", "key", "n", "pos", F.col("first.id").alias("id0"), F.col("first.key").alias("key0"), F.expr("pos - first.pos").alias("shift")
+        "id", "key", "n", F.col("first.id").alias("id0"), F.col("first.key").alias("key0"),
+        F.struct("pos", "low", "high", F.col("first.pos").alias("pos0")).alias("at"),
+    )
+    shift = F.col("at.pos0") - F.col("at.pos")
+    pairs = later.groupBy("id", "key", "id0", "key0").agg(
+        F.collect_list("at").alias("at"), F.greatest(F.lit(0), F.min(shift)).alias("begin"), F.max(shift + F.col("n")).alias("end")
     )
-    diagonals = later.groupBy("id", "key", "id0", "key0", "shift").agg(F.collect_set("pos").alias("at"), F.max("n").alias("n"))
     source = lines.select(F.col("id").alias("id0"), F.col("key").alias("key0"), F.col("n").alias("n0"), F.col("hashes").alias("all0"))
-    # Of the source only the lines that can lie opposite to a line of the document travel on.
-    begin, size = "greatest(0, -shift)", "(least(n0, n - shift) - greatest(0, -shift))"
-    facing = diagonals.join(source, ["id0", "key0"]).select(
-        "id", "key", "shift", "at", F.expr(f"substring(all0, 8 * {begin} + 1, 8 * {size})").alias("facing")
-    )
-    both = facing.join(lines, ["id", "key"]).select("id", "key", "shift", "at", "facing", "hashes", "words", "places")
+    facing = F.expr("substring(all0, 8 * begin + 1, 8 * (least(end, n0) - begin))").alias("facing")
+    pairs = pairs.join(source, ["id0", "key0"]).select("id", "key", "at", "begin", facing)
+    return pairs.join(lines, ["id", "key"]).select("id", "key", "n", "at", "begin", "facing", "hashes", "words", "places")
+
+
+def _compared(pairs: DataFrame, least: int) -> DataFrame:
+    """Runs that agree and hold a window of their fingerprint, as (id, key, n, start, end) by places in the text; windows
+    that do not agree as (id, key, n, digest, pos, low, high), start being null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            rows, starts, ends = [], [], []
-            for row, r in enumerate(batch.select(["shift", "at", "facing", "hashes", "words", "places"]).to_pylist()):
-                low, facing = max(0, r["shift"]), np.frombuffer(r["facing"], np.uint64)
-                same = np.frombuffer(r["hashes"], np.uint64)[low : low + len(facing)] == facing
-                breaks = np.concatenate(([-1], np.flatnonzero(~same), [len(same)])) + low
-                words, places = np.frombuffer(r["words"], np.int32), np.frombuffer(r["places"], np.int32)
-                for gap in np.unique(np.searchsorted(breaks, r["at"])).tolist():
-                    start, end = int(breaks[gap - 1]) + 1, int(breaks[gap])
-                    if end > start and words[start:end].sum() >= least:
+        for batch in pieces(batches, 64):
+            rows, columns = [], ([], [], [], [], [], [])
+            for row, r in enumerate(batch.select(["at", "begin", "facing", "hashes", "words", "places"]).to_pylist()):
+                own, words, places = (np.frombuffer(r[c], kind) for c, kind in (("hashes", np.uint64), ("words", np.int32), ("places", np.int32)))
+                at = np.array([(x["pos"], x["low"], x["high"], x["pos0"]) for x in r["at"]], np.int64)
+                pos, low, high = at[:, 0], at[:, 1], at[:, 2]
+                start, end = agreement(own, np.frombuffer(r["facing"], np.uint64), pos, at[:, 3] - r["begin"])
+                total = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+                ends = np.searchsorted(total, total[:-1] + least)
+                # Of the windows from low to high those from `one` to `two` lie in the run.
+                one = np.maximum(low, start)
+                two = np.minimum(high, np.searchsorted(ends, end, "right") - 1)
+                fits = one <= two
+                if fits.any():
+                    # Runs that overlap are one.
+                    found = np.unique(np.stack((start[fits], end[fits]), 1), axis=0)
+                    reach = np.maximum.accumulate(found[:, 1])
+                    cut = np.flatnonzero(np.concatenate(([True], found[1:, 0] > reach[:-1])))
+                    begins, stops = found[cut, 0], reach[np.append(cut[1:], len(found)) - 1]
+                    rows += [row] * len(cut)
+                    columns[0].extend((places[begins]).tolist())
+                    columns[1].extend((places[stops - 1] + 1).tolist())
+                    for column in columns[2:]:
+                        column.extend([None] * len(cut))
+                for i in range(len(pos)):
+                    left = range(low[i], high[i] + 1) if not fits[i] else [*range(low[i], one[i]), *range(two[i] + 1, high[i] + 1)]
+                    for s in left:
                         rows.append(row)
-                        starts.append(int(places[start]))
-                        ends.append(int(places[end - 1]) + 1)
-            at = pa.array(rows, pa.int64())
-            arrays = [batch.column("id").take(at), batch.column("key").take(at), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "key", "start", "end"])
+                        values = (None, None, xxhash.xxh64_intdigest(own[s : ends[s]].tobytes()), int(pos[i]), s, s)
+                        for column, value in zip(columns, values):
+                            column.append(value)
+            taken = pa.array(rows, pa.int64())
+            digests = pa.array([None if d is None else d - (d >> 63 << 64) for d in columns[2]], pa.int64())
+            numbers = [pa.array(c, pa.int32()) for i, c in enumerate(columns) if i != 2]
+            arrays = [*(batch.column(c).take(taken) for c in ("id", "key", "n")), *numbers[:2], digests, *numbers[2:]]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "key", "n", "start", "end", "digest", "pos", "low", "high"])
+
+    return pairs.mapInArrow(run, "id bigint, key bigint, n int, start int, end int, digest bigint, pos int, low int, high int")
 
-    return both.mapInArrow(run, "id bigint, key bigint, start int, end int")
+
+def repeated_runs(lines: DataFrame, least: int) -> DataFrame:
+    """(id, key, start, end): runs of lines, by their places in the text, that occur earlier in the corpus.
+
+    Windows that disagree with the first position of their minimum have no copy there, so those left by the first step
+    hold all copies of theirs.
+    """
+    prints = written(fingerprints(lines, least), "line-prints")
+    met = written(_compared(_opposite_first(prints, "hash", lines), least), "line-runs")
+    again = _compared(_opposite_first(met.where("digest is not null"), "digest", lines), least)
+    runs = met.where("start is not null").unionByName(again.where("start is not null"))
+    return runs.select("id", "key", "start", "end")
 
 
 def without_repeats(docs: DataFrame, least: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -124,18 +203,20 @@ def without_repeats(docs: DataFrame, least: int = LEAST_WORDS, doc_id: str = "do
     Passages consist of whole lines, compared without white space at their ends. Blank lines between deleted lines go
     with them; other lines stay as they are. Rows equal in doc_id and text are one document: they do not repeat each
     other and get the same result. A null text stays null. Texts without a repeated passage come back unchanged.
+    Columns of `docs` that are named as the two new ones are replaced; others can have any name.
     """
     lines = written(line_table(docs, doc_id, text), "lines")
     runs = repeated_runs(lines, least).distinct()
     runs = runs.groupBy("id", "key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
-    kept = [c for c in docs.columns if c not in ("removed", "lines_removed")]
+    kept = [c for c in docs.columns if c.lower() not in ("removed", "lines_removed")]
+    own_id, own_key = unused(kept, "__id"), unused(kept, "__key")
     keyed = docs.select(
         *[F.col(f"`{c}`") for c in kept],
-        F.coalesce(F.col(doc_id), F.lit(NO_ID)).alias("__id"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__key"),
+        F.coalesce(F.col(doc_id), F.lit(NO_ID)).alias(own_id),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias(own_key),
     )
-    runs = runs.select(F.col("id").alias("__id"), F.col("key").alias("__key"), "removed")
-    joined = keyed.join(runs, ["__id", "__key"], "left").drop("__id", "__key")
+    runs = runs.select(F.col("id").alias(own_id), F.col("key").alias(own_key), "removed")
+    joined = keyed.join(runs, [own_id, own_key], "left").drop(own_id, own_key)
     place = kept.index(text)
     schema = joined.withColumn("lines_removed", F.lit(0).cast("bigint")).schema
 

@@ -93,3 +93,53 @@ def test_query_over_the_given_table(spark):
     expected = plain(rows, line_dedup.LEAST_WORDS)
     got = {r.doc_id: r.lines_removed for r in op4_line_dedup(spark, "/root/testdata/sf0.001").collect()}
     assert got == {i: len(gone) for (i, _), gone in expected.items()} and sum(got.values()) > 0
+
+
+def test_minima_are_few_and_those_of_their_windows(spark):
+    """Each selected minimum is the first smallest line of the windows from low to high, and of no other."""
+    import numpy as np
+
+    rng = random.Random(9)
+    for n in (0, 1, 7, 400):
+        hashes = np.array([rng.randrange(1 << 20) for _ in range(n)], np.uint64)
+        words = np.array([rng.randrange(1, 9) for _ in range(n)], np.int32)
+        ends, places = line_dedup.windows_of(hashes, words, 30)
+        for start, (end, place) in enumerate(zip(ends, places)):
+            assert words[start:end].sum() >= 30 > words[start : end - 1].sum()
+            assert place == start + int(np.argmin(hashes[start:end]))
+        assert words[len(ends) :].sum() < 30
+    docs = spark.createDataFrame([(i, "\n".join(f"w{rng.randrange(10**6)} a b c d" for _ in range(300))) for i in range(20)], "doc_id bigint, text string")
+    lines = line_dedup.line_table(docs, "doc_id", "text")
+    assert 300 < line_dedup.fingerprints(lines, 50).count() < 20 * 300 / 4
+
+
+def test_a_minimum_that_first_stands_in_other_company(spark):
+    """One line with the smallest hash of all, first among other lines: the later copies still find each other."""
+    import xxhash
+
+    small = min((f"one line {i}" for i in range(5000)), key=lambda x: xxhash.xxh64_intdigest(x.encode()))
+    ahead, behind = [f"ahead {i} of it" for i in range(4)], [f"behind {i} of it" for i in range(4)]
+    alone = [f"other {i} words here" for i in range(4)]
+    passage = "\n".join([*ahead, small, *behind])
+    rows = [(1, "\n".join([*alone, small, *reversed(alone)]))] + [(i, f"begin {i}\n{passage}\nend {i}") for i in range(2, 8)]
+    rows += [(9, "\n".join([*ahead[2:], small, *behind[:1]])), (10, "\n".join([*alone[1:], small, *behind]))]
+    found = check(spark, rows, 10)
+    assert {i: n for i, _, n in found}[5] == 9
+
+
+def test_many_equal_lines(spark):
+    """Thirty thousand equal lines, in one text and again in a later one, are compared in one piece each."""
+    import time
+
+    text = "\n".join(["same line of five words"] * 32_000)
+    df = spark.createDataFrame([(1, text), (2, text + "\nend")], "doc_id bigint, text string")
+    begin = time.perf_counter()
+    got = {r.doc_id: (r.lines_removed, r.text) for r in line_dedup.without_repeats(df, 50).collect()}
+    assert got == {1: (31_999, "same line of five words"), 2: (32_000, "end")}
+    assert time.perf_counter() - begin < 60
+
+
+def test_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a b c", 5, "x", "y"), (2, "a b c", 6, "z", "w")], "doc_id bigint, text string, __id int, __KEY string, hash string")
+    got = line_dedup.without_repeats(df, 3).orderBy("doc_id").collect()
+    assert [tuple(r)[:5] for r in got] == [(1, "a b c", 5, "x", "y"), (2, "", 6, "z", "w")]
