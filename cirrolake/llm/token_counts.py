@@ -2,7 +2,8 @@
 
 The best segmentation of a prefix does not depend on what follows, so all pre-tokens that share a prefix share its
 forward scores. A batch's different pre-tokens are inserted into a trie; each new node gets its best score and number of
-tokens once, from the vocabulary entries that end there, and each pre-token's end keeps its count. Rows are
+tokens once, from the vocabulary entries that end there, and each pre-token's end keeps its count. Very long pre-tokens
+keep no prefixes, only the scores that an entry reaches back to, so memory does not grow with them. Rows are
 independent, so nothing is shuffled; the vocabulary is broadcast, its size checked.
 """
 
@@ -22,6 +23,8 @@ from cirrolake.llm.common import keyed_texts, pieces
 #: Nodes and pre-tokens that a Python worker keeps; beyond it starts a new trie, which costs time but changes no result.
 KEPT_NODES = 1_500_000
 KEPT_TOKENS = 400_000
+#: Pre-tokens of more bytes are counted without the trie, and not kept: they are seldom met twice.
+LONG_PIECE = 1024
 
 
 class UnigramCounter:
@@ -41,6 +44,7 @@ class UnigramCounter:
 
     def _prepare(self) -> None:
         """The vocabulary as a trie of reversed entries: from an end backwards, it says which entries end there."""
+        self.width = max(map(len, self.scores)) + 1
         self.backwards: dict = {}
         for token, score in self.scores.items():
             node = self.backwards
@@ -53,22 +57,26 @@ class UnigramCounter:
     def _restart(self) -> None:
         self.trie, self.nodes, self.counts = {}, 0, {}
 
+    def _best(self, piece: bytes, at: int, best: list[int], fewest: list[int], width: int) -> tuple[int, int]:
+        """(score, tokens) of the prefix that ends with byte `at`: every entry that ends there joins the best way to where
+        it begins. `best` and `fewest` hold the prefix of length n at n % width."""
+        score, tokens, step, place = None, 0, self.backwards, at
+        while place >= 0 and (step := step.get(piece[place])) is not None:
+            own = step.get(-1)
+            if own is not None:
+                whole, many = best[place % width] + own, fewest[place % width] + 1
+                if score is None or whole > score or whole == score and many < tokens:
+                    score, tokens = whole, many
+            place -= 1
+        return score, tokens
+
     def insert(self, piece: bytes) -> int:
         """The number of tokens of a pre-token; makes the nodes that its prefixes lack."""
-        node, best, fewest, size = self.trie, [0], [0], len(piece)
-        for at in range(size):
-            known = node.get(piece[at])
+        node, best, fewest, width = self.trie, [0], [0], len(piece) + 1
+        for at, byte in enumerate(piece):
+            known = node.get(byte)
             if known is None:
-                # Every entry that ends here joins the best way to where it begins.
-                score, tokens, step, place = None, 0, self.backwards, at
-                while place >= 0 and (step := step.get(piece[place])) is not None:
-                    own = step.get(-1)
-                    if own is not None:
-                        whole, many = best[place] + own, fewest[place] + 1
-                        if score is None or whole > score or whole == score and many < tokens:
-                            score, tokens = whole, many
-                    place -= 1
-                known = node[piece[at]] = {-1: (score, tokens)}
+                known = node[byte] = {-1: self._best(piece, at, best, fewest, width)}
                 self.nodes += 1
             node = known
             score, tokens = node[-1]
@@ -76,17 +84,30 @@ class UnigramCounter:
             fewest.append(tokens)
         return fewest[-1]
 
+    def alone(self, piece: bytes) -> int:
+        """The same number, without nodes and with as many scores as the longest entry has bytes."""
+        width = self.width
+        best, fewest = [0] * width, [0] * width
+        for at in range(len(piece)):
+            best[(at + 1) % width], fewest[(at + 1) % width] = self._best(piece, at, best, fewest, width)
+        return fewest[len(piece) % width]
+
     def count(self, text: str) -> int:
         if self.trie is None:
             self._prepare()
-        if self.nodes > KEPT_NODES or len(self.counts) > KEPT_TOKENS:
-            self._restart()
         found = self.split.findall(text) if len(text) < LONG_TEXT else (m[0] for m in self.split.finditer(text))
         get, total = self.counts.get, 0
         for piece in found:
             number = get(piece)
             if number is None:
-                number = self.counts[piece] = self.insert(piece.encode())
+                raw = piece.encode()
+                if len(raw) > LONG_PIECE:
+                    total += self.alone(raw)
+                    continue
+                if self.nodes > KEPT_NODES or len(self.counts) > KEPT_TOKENS:
+                    self._restart()
+                    get = self.counts.get
+                number = self.counts[piece] = self.insert(raw)
             total += number
         return total
 

@@ -68,3 +68,29 @@ def test_query_over_the_given_table(spark, counter):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     got = {tuple(r) for r in op8_token_counts(spark, "/root/testdata/sf0.001").select("doc_id", "n_tokens").collect()}
     assert got == set(zip([r.doc_id for r in rows], expected(counter, [r.text for r in rows])))
+
+
+def test_long_pre_tokens_need_no_nodes(counter):
+    """Both ways count alike, and a pre-token of a megabyte leaves the trie as it was and takes little memory."""
+    import tracemalloc
+
+    rng, own = random.Random(8), counter.value
+    own.count("a word")
+    for size in (1, 2, 300, 1500):
+        piece = "".join(rng.choice("etaoinshr") for _ in range(size)).encode()
+        assert own.alone(piece) == own.insert(piece) == plain_count(own.scores, max(map(len, own.scores)), piece)
+    text, nodes = "".join(rng.choice("etaoinshr") for _ in range(1 << 20)), own.nodes
+    tracemalloc.start()
+    assert own.count(text) > 1 << 17
+    assert tracemalloc.get_traced_memory()[1] < 16 << 20 and own.nodes == nodes
+    tracemalloc.stop()
+
+
+def test_one_text_does_not_outgrow_the_trie(counter, monkeypatch):
+    rng, own = random.Random(9), counter.value
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(3000))
+    own._restart()
+    whole = own.count(text)
+    monkeypatch.setattr(token_counts, "KEPT_NODES", 500)
+    own._restart()
+    assert own.count(text) == whole and own.nodes <= 520
