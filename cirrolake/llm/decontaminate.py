@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cirrolake.llm.common import keyed_texts, text_key, written
+from cirrolake.llm.common import keyed_texts, text_key, unused, written
 
 WINDOW, LITERALS, COVERAGE = 5, 3, 0.5
 #: An item of fewer words is only looked for as a whole document: one or two words occur by chance.
@@ -206,8 +206,9 @@ def contaminated(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that hold no item of the benchmark, with all their columns."""
-    found = contaminated(docs, benchmark, doc_id=doc_id, text=text).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-    found = written(found.distinct(), "contaminated")
-    same = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__key"))
+    """The rows of `docs` that hold no item of the benchmark, with all their columns, which can have any name."""
+    own_id, own_key = unused(docs.columns, "__id"), unused(docs.columns, "__key")
+    found = contaminated(docs, benchmark, doc_id=doc_id, text=text)
+    found = written(found.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)).distinct(), "contaminated")
+    same = F.col(doc_id).eqNullSafe(F.col(own_id)) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col(own_key))
     return docs.join(sent_if_small(found), same, "left_anti")

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cirrolake.llm.common import as_bytes, batchwise, keyed_texts, text_key, words, written
+from cirrolake.llm.common import as_bytes, batchwise, keyed_texts, text_key, unused, words, written
 from cirrolake.llm.graph import components
 
 SEED = 42
@@ -172,12 +172,13 @@ def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, doc_id: str
     """The row with the smallest doc_id of each group of near-duplicates, with all its columns.
 
     A row without id stays only where its group has no other; of rows with one id the one with the smallest hash of
-    its text stays, and of repeated rows one.
+    its text stays, and of repeated rows one. Columns can have any name.
     """
     groups = near_duplicates(docs, width, distance, doc_id, text)
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("text_key"))
     first = groups.groupBy("component").agg(F.min(order).alias("first"))
-    first = written(first.select(F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key")), "first-ones")
-    keyed = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    same = keyed[doc_id].eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key"))
-    return keyed.join(first, same, "left_semi").dropDuplicates([doc_id, "__text"]).drop("__text")
+    own_id, own_key, own_text = (unused(docs.columns, name) for name in ("__id", "__key", "__text"))
+    first = written(first.select(F.col("first.doc_id").alias(own_id), F.col("first.text_key").alias(own_key)), "first-ones")
+    keyed = docs.withColumn(own_text, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = keyed[doc_id].eqNullSafe(F.col(own_id)) & (F.col(own_text) == F.col(own_key))
+    return keyed.join(first, same, "left_semi").dropDuplicates([doc_id, own_text]).drop(own_text)

@@ -89,3 +89,9 @@ def test_items_without_a_template_window(spark):
     got, clean = found(spark, docs, [(70, sums), (71, names), (72, short), (73, "12 km"), (74, "a red car stops")])
     assert set(got) == {(1, 70), (2, 70), (4, 71), (5, 72), (7, 73), (10, 74)}
     assert set(got.values()) == {("verbatim", 0)} and clean == [3, 6, 8, 9]
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame([(1, QUESTION, 5, "x"), (2, "Nothing.", 6, "z")], "doc_id bigint, text string, __id int, __KEY string")
+    items = spark.createDataFrame([(70, QUESTION, 2)], ITEMS)
+    assert [tuple(r) for r in decontaminate.clean(docs, items).collect()] == [(2, "Nothing.", 6, "z")]

@@ -96,3 +96,8 @@ def test_one_of_each_group_stays(spark):
     df = spark.createDataFrame([(i, t, "f", 1) for i, t in rows], SCHEMA)
     kept = sorted(((r.doc_id, r.text) for r in simhash.one_of_each(df).collect()), key=str)
     assert kept == sorted([(2, "A B c d"), (None, "x y z"), (None, "p q r s"), (8, "")], key=str)
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(1, "a b c", 5, "x", "y"), (2, "a b c", 6, "z", "w")], "doc_id bigint, text string, __id int, __KEY string, __text string")
+    assert [tuple(r) for r in simhash.one_of_each(df).collect()] == [(1, "a b c", 5, "x", "y")]
