@@ -301,10 +301,18 @@ def hash_of(token: str) -> int:
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = 1800, words: int = 1000) -> Model | None:
     """A model from the labelled rows of `docs` (doc_id, text): at most `bound` ids of each class and `words` tokens of each."""
-    sample = labelled_sample(keyed_texts(docs), labels, bound, words).collect()
-    # Words are interned, as most are in many texts; the order of the rows must not matter.
-    rows = sorted((sorted({sys.intern(u) for t in found for u in units(t) if len(u) > 2}), y) for found, y in sample)
-    del sample
+    sample = labelled_sample(keyed_texts(docs), labels, bound, words)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            found = [sorted({u for t in ts for u in units(t) if len(u) > 2}) for ts in batch.column("found").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), batch.column("label")], ["found", "label"])
+
+    # The units of each text are found by the executors and come one partition at a time, interned as they arrive, as
+    # most are in many texts: the driver never holds the texts' tokens, nor all rows before interning. The order of the
+    # rows must not matter.
+    found = sample.mapInArrow(cut, "found array<string>, label int").toLocalIterator()
+    rows = sorted(([sys.intern(u) for u in units_], y) for units_, y in found)
     return train(rows)
 
 

@@ -93,3 +93,20 @@ def test_query_over_the_given_table(spark):
     ids = [r.doc_id for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert sorted(r.doc_id for r in got) == sorted(ids)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) for r in got)
+
+
+def test_fit_streams_the_sample_and_learns_the_same(spark, monkeypatch):
+    """The driver gets the labelled sample one partition at a time, as units; the model is the one from all rows at once."""
+    rows = corpus(2, 300, ["idiot", "moron", "worthless", "pathetic"])
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    labels = df.where("doc_id % 5 <> 0").select("doc_id", "label")
+    whole = [(f, y) for f, y in toxicity.labelled_sample(df.select("doc_id", "text"), labels, 1800, 1000).collect()]
+    expected = toxicity.train(sorted((sorted({u for t in f for u in toxicity.units(t) if len(u) > 2}), y) for f, y in whole))
+
+    def refused(self):
+        raise AssertionError("the whole sample went to the driver at once")
+
+    monkeypatch.setattr(type(df), "collect", refused)
+    model = toxicity.fit(df, labels)
+    assert np.array_equal(model.weights, expected.weights)
+    assert (model.bias, model.slope, model.offset) == (expected.bias, expected.slope, expected.offset)
