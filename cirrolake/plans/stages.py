@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cirrolake.functions import jsonmap
 from cirrolake.operators import bronze as bz
 from cirrolake.operators.dimensions import dim_date, dim_location, dim_weather
 from cirrolake.operators.fact import fact_from_same_silver
@@ -70,9 +69,7 @@ def backfill(
     """
     low = dt.datetime.combine(start, dt.time(), dt.UTC).timestamp()
     high = dt.datetime.combine(end + dt.timedelta(days=1), dt.time(), dt.UTC).timestamp()
-    seconds = jsonmap.text(F.col("obs"), "ts").try_cast("double")
-    rows = classified(read_responses(spark, landing), "history")
-    rows = rows.where(F.col("reason").isNotNull() | ((seconds >= low) & (seconds < high)))
+    rows = classified(read_responses(spark, landing), "history", (low, high))
     batch = f"backfill-{_short(landing)}-{start}-{end}"
     return append_bronze(bz.history_to_bronze(rows, ingested_at), lake.bronze, batch)
 

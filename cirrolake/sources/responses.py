@@ -89,15 +89,16 @@ NOT_ARRAY, ELEMENT_NOT_OBJECT = "data_not_array", "element_not_object"
 ID_PARTS = ["lat", "lon", "ts"]
 
 
-def classified(responses: DataFrame, feed: str = "current") -> DataFrame:
+def classified(responses: DataFrame, feed: str = "current", seconds: tuple[float, float] | None = None) -> DataFrame:
     """Every observation of landed documents, and beside them what cannot be one; one parse gives both.
 
     `reason` is null for observations; else `rejected` is the body, or the element's JSON. A document without `data`, or
     with an empty or null one, gives nothing: there is nothing wrong with it. Of history responses the observations are
     the maps `obs` of `history_observations`; of current ones `payload` is the element's own JSON with our place name at
-    its end, and `lat`, `lon`, `ts` are the texts of its values.
+    its end, and `lat`, `lon`, `ts` are the texts of its values. History observations may be kept to those whose `ts`
+    lies in `seconds` [low, high); the rest is kept whatever its time.
     """
-    return _classified_current(responses) if feed == "current" else _classified_history(responses)
+    return _classified_current(responses) if feed == "current" else _classified_history(responses, seconds)
 
 
 def _why(json: Column, document: Column, data: Column, elements: Column) -> Column:
@@ -160,7 +161,7 @@ def _with_name(element: Column, place_name: Column) -> Column:
     return F.when(element.contains('"place_name"'), F.to_json(replaced, {"ignoreNullFields": "false"})).otherwise(appended)
 
 
-def _classified_history(responses: DataFrame) -> DataFrame:
+def _classified_history(responses: DataFrame, seconds: tuple[float, float] | None = None) -> DataFrame:
     parsed = responses.select("body", F.try_parse_json("body").alias("json"))
     documents = parsed.select("body", "json", F.try_variant_get("json", "$", OBSERVATION_MAP).alias("doc"))
     data = F.try_element_at("doc", F.lit("data"))
@@ -175,6 +176,11 @@ def _classified_history(responses: DataFrame) -> DataFrame:
         F.explode(units).alias("element"),
     )
     maps = found.withColumn("obs", F.try_variant_get("element", "$", OBSERVATION_MAP))
+    if seconds is not None:
+        # The time of the merged map below, taken before merging: the element's `ts` wins over the metadata's.
+        ts = F.when(F.map_contains_key("obs", F.lit("ts")), F.try_element_at("obs", F.lit("ts"))).otherwise(F.try_element_at("meta", F.lit("ts")))
+        at = F.try_variant_get(ts, "$", "string").try_cast("double")
+        maps = maps.where(F.col("why").isNotNull() | F.col("obs").isNull() | ((at >= seconds[0]) & (at < seconds[1])))
     reason = F.coalesce(F.col("why"), F.when(F.col("obs").isNull(), ELEMENT_NOT_OBJECT))
     rejected = F.coalesce("body", F.when(F.col("obs").isNull(), F.coalesce(F.to_json("element"), F.lit("null"))))
     merged = jsonmap.put(jsonmap.overlay(F.col("meta"), F.col("obs")), "place_name", F.col("place_name"))
